@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with QUERIES and ORACLES.
-MODULES = ("queries_tokens", "queries_spans")
+MODULES = ("queries_tokens", "queries_spans", "queries_decontamination")
 
 
 def queries() -> dict:
