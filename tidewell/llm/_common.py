@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python-side work is done on slices of an Arrow batch of at most this many bytes of text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

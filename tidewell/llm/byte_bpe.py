@@ -17,7 +17,6 @@ import base64
 import codecs
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from tidewell.llm._common import arrow_map, pick
 SPACE_STARTS_MATCH = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Entries of a worker's memory of encoded chunks; beyond it the memory starts anew.
-CHUNK_MEMORY = 1_000_000
+CHUNK_MEMORY = 250_000
 
 #: Chunks that are encoded in one call.
 JOINED = 4096
@@ -87,6 +86,20 @@ class Vocabulary:
         return out
 
 
+class ByteTable:
+    """The bytes of each id, for decoding: the byte-to-character table read backwards."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        chars = byte_characters()
+        reverse = {c: b for b, c in enumerate(chars)}
+        table = [b""] * (max(vocabulary.ranks.values(), default=-1) + 1)
+        for token, i in vocabulary.ranks.items():
+            spelled = "".join(chars[b] for b in token)
+            table[i] = bytes(reverse[c] for c in spelled)
+        self.table = pa.array(table, pa.large_binary())
+        self.lengths = np.array([len(x) for x in table], np.int64)
+
+
 class Codec:
     """What a Python worker keeps of a vocabulary: the tokenizer, a bounded memory of chunks that
     it has encoded, and the byte string of each id."""
@@ -95,13 +108,7 @@ class Codec:
         self.tokenizer = vocabulary.tokenizer()
         self.by_chunk = vocabulary.pattern == SPACE_STARTS_MATCH
         self.memory: dict[str, bytes | None] = {}
-        size = max(vocabulary.ranks.values(), default=-1) + 1
-        table: list[bytes] = [b""] * size
-        reverse = {c: b for b, c in enumerate(byte_characters())}
-        for chars, i in self.tokenizer.get_vocab().items():
-            table[i] = bytes(reverse[c] for c in chars)
-        self.table = pa.array(table, pa.large_binary())
-        self.lengths = np.array([len(x) for x in table], np.int64)
+        self.lengths = ByteTable(vocabulary).lengths
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -159,26 +166,23 @@ class Codec:
         return chunk[1:] if chunk[0] == " " else " " + chunk
 
 
-@lru_cache(maxsize=4)
-def _codec(key: str, holder: _Holder) -> Codec:
-    return Codec(holder.vocabulary)
+#: What this worker has built, by vocabulary; a job uses one or two.
+_BUILT: dict[tuple[type, str], Codec | ByteTable] = {}
 
 
-class _Holder:
-    """Hashes by the vocabulary's key, so that a worker builds each codec once."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
+def _built(kind: type, vocabulary: Vocabulary):
+    at = (kind, vocabulary.key)
+    if at not in _BUILT:
+        _BUILT[at] = kind(vocabulary)
+    return _BUILT[at]
 
-    def __hash__(self) -> int:
-        return hash(self.vocabulary.key)
 
-    def __eq__(self, other: object) -> bool:
-        return isinstance(other, _Holder) and other.vocabulary.key == self.vocabulary.key
+def codec(vocabulary: Vocabulary) -> Codec:
+    return _built(Codec, vocabulary)
 
 
-def codec(vocabulary: Vocabulary) -> Codec:
-    return _codec(vocabulary.key, _Holder(vocabulary))
+def byte_table(vocabulary: Vocabulary) -> ByteTable:
+    return _built(ByteTable, vocabulary)
 
 
 def id_lists(encoded: list[bytes]) -> pa.ListArray:
@@ -223,7 +227,7 @@ def decode_bytes(ids: Column | str, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("binary")
     def run(lists: pa.Array) -> pa.Array:
-        own = codec(shared.value)
+        own = byte_table(shared.value)
         flat = own.table.take(lists.flatten())
         lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
         ends = np.cumsum(np.concatenate([[0], own.lengths[np.asarray(lists.flatten(), np.int64)]]))[np.cumsum(np.concatenate([[0], lengths]))]
@@ -250,7 +254,7 @@ def decode_text(ids: Column | str, vocabulary: Vocabulary) -> Column:
 def decode_pieces(pieces: Iterable[list[int]], vocabulary: Vocabulary) -> Iterator[str]:
     """Text of consecutive runs of ids, as they arrive: a character that is split over two runs
     comes out whole with the later one."""
-    own, held = codec(vocabulary), codecs.getincrementaldecoder("utf-8")("replace")
+    own, held = byte_table(vocabulary), codecs.getincrementaldecoder("utf-8")("replace")
     for ids in pieces:
         yield held.decode(b"".join(own.table[i].as_py() for i in ids))
     if rest := held.decode(b"", final=True):
