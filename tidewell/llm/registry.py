@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with QUERIES and ORACLES.
-MODULES = ("queries_tokens", "queries_spans", "queries_decontamination", "queries_quality_rules", "queries_near_dedup", "queries_classifiers")
+MODULES = ("queries_tokens", "queries_spans", "queries_decontamination", "queries_quality_rules", "queries_near_dedup", "queries_classifiers", "queries_chat_tools")
 
 
 def queries() -> dict:
