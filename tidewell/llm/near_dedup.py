@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, pick, stored
+from tidewell.llm._common import arrow_map, column_index, pick, stored
 from tidewell.llm.components import components
 
 #: Values of a sketch, and those in the first lists.
@@ -330,3 +330,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         component.alias("component_id"),
         (F.col("id").isNull() | F.col("id").eqNullSafe(component)).alias("kept"),
     )
+
+
+def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, with all columns: that of the smallest id, and of its rows
+    repeated with the same text, one. Only ids are joined, so texts are not shuffled while the
+    documents to drop are few enough to be broadcast."""
+    found = stored(near_duplicates(df, id_col, text_col, size, percent).withColumnRenamed(id_col, "_id"))
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    own, text = (F.col(f"_c{column_index(df, c)}") for c in (id_col, text_col))
+    flat = df.toDF(*names)
+    gone = stored(found.where("not kept").select("_id").distinct())
+    small = gone.count() <= BROADCAST_IDS
+    out = flat.join(F.broadcast(gone) if small else gone, own == F.col("_id"), "left_anti")
+    repeated = stored(found.where("kept and _id is not null").groupBy("_id").count().where("count > 1").select("_id"))
+    if not repeated.isEmpty():
+        single = out.join(repeated, own == F.col("_id"), "left_anti")
+        again = out.join(repeated, own == F.col("_id"), "left_semi").withColumn("_t", F.xxhash64(text))
+        out = single.unionByName(again.dropDuplicates([f"_c{column_index(df, id_col)}", "_t"]).drop("_t"))
+    return out.toDF(*df.columns)
