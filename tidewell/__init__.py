@@ -1 +1,17 @@
-"""tidewell."""
+"""Tables, queries and bulk writes on Spark DataFrames."""
+
+from tidewell.sources.reader import Reader
+from tidewell.sources.writer import Writer
+
+
+def read(spark) -> Reader:
+    """``read(spark).option("dbtable", name).load()``"""
+    return Reader(spark)
+
+
+def write(df) -> Writer:
+    """``write(df).option("dbtable", name).mode("overwrite").save()``"""
+    return Writer(df)
+
+
+__all__ = ["Reader", "Writer", "read", "write"]
