@@ -51,11 +51,12 @@ class Automaton:
         owners: list[set[int]] = [set()]
         self.names: list[str] = []
         for name, sequence in items:
-            own, at = len(self.names), 0
+            at = 0
             self.names.append(name)
             for w in sequence:
                 at = self._extend(at, w)
-            # Every prefix's state is known to this item, and so are all states on its suffix links.
+        # Once all states are there: an item has the states of its prefixes and all on their suffix links.
+        for own, (_, sequence) in enumerate(items):
             at = 0
             for w in sequence:
                 at = self.next[at][w]
