@@ -19,14 +19,18 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import byte_bpe, decontamination, near_dedup, pii
 from tidewell.llm import toxicity as toxicity_operator
-from tidewell.llm._common import read, sha256_hex, stored
+from tidewell.llm._common import column_index, read, sha256_hex, stored
 from tidewell.llm.queries_classifiers import toxicity_model
 from tidewell.llm.queries_tokens import vocabulary
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """n_chars of the text as it is now, where the table has that column."""
-    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+    if "n_chars" not in docs.columns:
+        return docs
+    at, text = column_index(docs, "n_chars"), column_index(docs, "text")
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    return flat.withColumn(f"_c{at}", F.length(f"_c{text}").cast("long")).toDF(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,134 @@
+import base64
+import json
+import random
+import re
+
+import pyarrow as pa
+import pytest
+
+from tidewell.llm import pii, queries_spans, secrets
+
+LETTER_A, LETTER_O = "а", "о"  # look-alikes of a and o
+
+
+def texts_of(module, text):
+    return [(k, text[a:b], base) for k, a, b, base in module.scan(pa.array([text]))[0]]
+
+
+def plain_pii(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for kind, p in (("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(p, text):
+            d = re.sub(r"[^0-9]", "", m[0])
+            total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d)))
+            if (13 <= len(d) <= 19 and total % 10 == 0) if kind == "card" else 9 <= len(d) <= 15:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_against_brute_force():
+    rng = random.Random(3)
+    for alphabet in ("ab.@-1%_ é", "0123456789.-+() ", "+1 (23)45-6.@a"):
+        for _ in range(4000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(50)))
+            assert pii.identifiers(text) == plain_pii(text), repr(text)
+    assert pii.identifiers("1.2.3." + "9" * 5000) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        ("mail john [at] example [dot] com now", "email", "john [at] example [dot] com"),
+        ("at jane.doe at mail dot example dot org please", "email", "jane.doe at mail dot example dot org"),
+        ("john(at)example.com", "email", "john(at)example.com"),
+        ("ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ", "email", "ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
+        (f"to j{LETTER_O}hn@ex{LETTER_A}mple.c{LETTER_O}m.", "email", f"j{LETTER_O}hn@ex{LETTER_A}mple.c{LETTER_O}m"),
+        ("jo​hn@example.com", "email", "jo​hn@example.com"),
+        ("call plus one five five five one two three four five six seven", "phone", "plus one five five five one two three four five six seven"),
+        ("+１ (５５５) ０１２-３４５６", "phone", "+１ (５５５) ０１２-３４５６"),
+        ("host one nine two dot one six eight dot one dot one up", "ip", "one nine two dot one six eight dot one dot one"),
+        ("card four one one one one one one one one one one one one one one one", "card", "four one one one one one one one one one one one one one one one"),
+    ],
+)
+def test_disguises_map_back_to_the_source(text, kind, found):
+    assert (kind, found, False) in texts_of(pii, text)
+
+
+def test_plain_prose_is_left_alone():
+    for text in ("look at example.com and one two or three", "He was at the dot, one and two.", "Ünïcödé tèxt — with “quotes” … only", "neun null eins"):
+        assert texts_of(pii, text) == []
+
+
+def test_base_spans_stay_and_masking(spark):
+    text = "a b@c.de or b [at] c [dot] de 4111 1111 1111 1111"
+    got = texts_of(pii, text)
+    assert ("email", "b@c.de", True) in got and ("email", "b [at] c [dot] de", False) in got and ("card", "4111 1111 1111 1111", True) in got
+    df = spark.createDataFrame([(1, text, "t"), (2, None, "t"), (3, "", "t")], "doc_id int, text string, other string").withColumnRenamed("other", "TEXT")
+    out = {r[0]: r for r in pii.mask(df).collect()}
+    assert out[1][1] == "a [EMAIL] or [EMAIL] [CARD]" and out[2][1] is None and out[3][1] == "" and out[1][2] == "t"
+
+
+def plain_secrets(text):
+    assign = r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    out = [("assign", *m.span()) for m in re.finditer(assign, text) if len(m[2]) >= 6]
+    out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out, key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+
+
+def test_secrets_base_against_brute_force():
+    rng = random.Random(4)
+    pieces = ["token", "Password", "api_key", "apiKEY", "=", ":", " ", '"', "abc", "x" * 6, "AKIA", "AKIA" + "Q7" * 9, "0123456789abcdef" * 2, "é", "\n", "tokKen=abcdefg"]
+    for _ in range(5000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(12)))
+        got = [(k, a, b) for k, a, b, base in secrets.scan(pa.array([text]))[0] if base]
+        assert got == plain_secrets(text), repr(text)
+
+
+def tlv(tag, body):
+    size = len(body)
+    head = bytes([size]) if size < 128 else bytes([0x82, size >> 8, size & 255])
+    return bytes([tag]) + head + body
+
+
+PKCS8 = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a\x86\x48") + tlv(5, b"")) + tlv(4, bytes(range(200))))
+NUMBERS = tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, bytes(range(1, 40))) for _ in range(8)))
+KEY_FILE = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4) + x for x in (b"none", b"none", b"")) + (1).to_bytes(4) + b"".join(len(x).to_bytes(4) + x for x in (b"p" * 40, b"s" * 90))
+
+
+def url(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+JWT = f"{url(json.dumps({'alg': 'HS256', 'typ': 'JWT'}).encode())}.{url(json.dumps({'sub': '1'}).encode())}.{url(bytes(range(32)))}"
+
+
+def test_structure_is_confirmed():
+    body = base64.b64encode(PKCS8).decode()
+    pem = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(body[i : i + 64] for i in range(0, len(body), 64)) + "\n-----END PRIVATE KEY-----"
+    cases = {"pem": pem, "der": body, "ssh": base64.b64encode(KEY_FILE).decode(), "jwt": JWT}
+    for kind, secret in cases.items():
+        found = [(k, t) for k, t, base in texts_of(secrets, f"see {secret} there") if not base]
+        assert found == [(kind, secret)], kind
+    assert ("der", NUMBERS.hex(), False) in texts_of(secrets, f"x {NUMBERS.hex()} y")
+    inner = base64.b64encode(pem.encode()).decode()
+    assert ("pem", inner, False) in texts_of(secrets, f"v {inner}")
+
+
+def test_broken_structure_is_not_reported():
+    cut = base64.b64encode(PKCS8[:-1]).decode()
+    short = base64.b64encode(KEY_FILE[:-1]).decode()
+    header = JWT.replace(JWT.split(".")[0], url(b'{"typ":"JWT"}'))
+    noise = base64.b64encode(bytes((i * 37 + 11) % 256 for i in range(90))).decode()
+    for bad in (cut, short, header, noise, "-----BEGIN PRIVATE KEY-----\nAAAA\n-----END PRIVATE KEY-----", JWT.split(".")[0]):
+        assert [s for s in texts_of(secrets, f"a {bad} b") if not s[2]] == [], bad
+
+
+def test_queries_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    for query in (queries_spans.op3_secret_scan, queries_spans.op10_pii):
+        for docs, n in ((odd_docs, 7), (no_docs, 0)):
+            path = str(tmp_path / f"{query.__name__}{n}")
+            docs.toDF("doc_id", "text", "lang", *docs.columns[3:]).write.parquet(f"{path}/documents.parquet")
+            out = query(spark, path).collect()
+            assert len(out) == n and all(r.spans == "" for r in out)
