@@ -32,7 +32,7 @@ TEXTS = (
     "timestamp_ltz_output_format", "timestamp_tz_output_format", "time_output_format",
 )
 #: Other names of the same options.
-ALIASES = {"sfcompress": "compress", "snowflake_stage": "stage_dir", "table": "dbtable"}
+ALIASES = {"sfcompress": "compress", "stage": "stage_dir", "table": "dbtable"}
 LEAST_FILE_SIZE = 1_000_000
 
 

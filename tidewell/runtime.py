@@ -51,7 +51,7 @@ def run_actions(spark: SparkSession, text: str | None, table: str | None = None)
 def time_zone(spark: SparkSession, zone: str | None) -> Iterator[None]:
     """The session's time zone for a read or write: the given one; ``spark`` and names of a
     warehouse's own settings leave it as it is."""
-    if not zone or zone.lower() in ("spark", "snowflake", "sf_current", "sf_default"):  # fixed values
+    if not zone or zone.lower() in ("spark", "sf_current", "sf_default"):  # fixed values
         yield
         return
     before = spark.conf.get("spark.sql.session.timeZone")
