@@ -25,15 +25,15 @@ def linked(spark, calls=CALLS, results=RESULTS):
     return C.link(c, r, SCHEMAS)
 
 
-def test_links_levels_and_errors(spark):
+def test_links_waves_and_errors(spark):
     got = {(r.conv_id, r.call_id, r.status): r for r in linked(spark).collect()}
     assert len(got) == 10
-    assert got["x", "c1", "linked"].level == 0 and json.loads(got["x", "c1", "linked"].json)["result"] == "two"
-    assert got["x", "c1", "linked"].json.startswith('{"arguments":{"a":1.5,"b":2},"call_id":"c1","errors":[],"level":0,')
-    assert got["x", "c2", "unanswered"].errors == ["type:a", "unexpected:z"] and got["x", "c2", "unanswered"].level == 1
-    assert got["x", "c3", "unanswered"].level == 2 and got["x", "c3", "unanswered"].errors == [] and got["x", "c3", "unanswered"].turn == 3
+    assert got["x", "c1", "linked"].wave == 0 and json.loads(got["x", "c1", "linked"].json)["result"] == "two"
+    assert got["x", "c1", "linked"].json.startswith('{"arguments":{"a":1.5,"b":2},"call_id":"c1","errors":[],"name":"add",')
+    assert got["x", "c2", "unanswered"].errors == ["type:a", "unexpected:z"] and got["x", "c2", "unanswered"].wave == 0
+    assert got["x", "c3", "unanswered"].wave == 0 and got["x", "c3", "unanswered"].errors == [] and got["x", "c3", "unanswered"].turn == 3
     assert got["x", "c4", "unanswered"].errors == ["tool"]
-    assert [got["x", c, "unanswered"].level for c in ("c5", "c6", "c7")] == [None, None, None]
+    assert [got["x", c, "unanswered"].wave for c in ("c5", "c6", "c7")] == [None, None, None]
     assert got["x", "c5", "unanswered"].errors == ["arguments"] == got["x", "c6", "unanswered"].errors
     assert got["x", "c7", "unanswered"].errors == ["missing:text"]
     assert got["y", "c1", "linked"].errors == ["tool"] and json.loads(got["y", "c1", "linked"].json)["result"] is None
@@ -42,8 +42,14 @@ def test_links_levels_and_errors(spark):
 
 def test_order_is_topological(spark):
     calls = [("x", f"c{i}", 100 - i, "add", '{"a":1}', [f"c{j}" for j in range(i) if j % 3 == i % 3]) for i in range(12)]
-    got = {r.call_id: r.level for r in linked(spark, calls, []).collect()}
+    got = {r.call_id: r.wave for r in linked(spark, calls, []).collect()}
     assert all(got[f"c{i}"] == i // 3 for i in range(12))
+    # A reference ahead in the middle of a chain moves what is behind it, and nothing else.
+    calls = [("x", f"d{i:02}", i, "add", '{"a":1}', [f"d{i - 1:02}"] if i != 5 else ["d08", "d04"]) for i in range(8)] + [("x", "d08", 8, "add", '{"a":1}', ["d02"]), ("y", "d05", 5, "add", '{"a":1}', [])]
+    rows = linked(spark, calls, []).where("conv_id = 'x'").collect()
+    order = {r.call_id: k for k, r in enumerate(sorted(rows, key=lambda r: (r.wave, r.turn, r.call_id)))}
+    assert all(order[p] < order[c] for _, c, _, _, _, ps in calls[:9] for p in ps if p in order)
+    assert {r.call_id for r in rows if r.wave} == {"d05", "d06", "d07"}
 
 
 def test_canonical_json_ignores_spelling(spark):

@@ -103,7 +103,7 @@ def test_without_labels(spark, no_docs, tables):
 
 def test_the_sample_is_bounded_and_weighted(spark, tables):
     docs, labels, raw = tables
-    found = L.examples(docs, labels, "toxic", lambda i: i.isNotNull(), L.WORDS, "doc_id", "text", 20)
+    found, _ = L.examples(docs, labels, "toxic", lambda i: i.isNotNull(), L.WORDS, "doc_id", "text", 20, 50)
     assert 40 <= len(found) <= 42  # one document has two rows
     weight = {e.label: e.weight for e in found}
     assert weight[0] > weight[1] > 1

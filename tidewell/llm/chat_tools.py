@@ -1,7 +1,7 @@
 """Tool-call linking in DataFrame functions only.
 
 Calls and results are joined by (conversation, identifier); calls are put in topological order by
-levels, a join for each level, so no conversation is ever gathered in one task; arguments are
+joins, so no conversation is ever gathered in one task; arguments are
 checked against the tools' schemas; each linked call becomes one line of canonical JSON: sorted
 keys, no spaces, numbers in one form.
 
@@ -9,7 +9,7 @@ Defined results: of several calls with one identifier in a conversation the firs
 the smaller JSON), of several results the first after the call; results that fit no call come out as
 orphans, and calls without a result as unanswered. Null conversations or identifiers are no calls
 and no results. A null or broken argument text is the error "arguments". Calls in or behind a cycle
-of dependencies have a null level. Empty tables give empty results. Only named columns are read.
+of dependencies have a null wave. Empty tables give empty results. Only named columns are read.
 """
 
 from __future__ import annotations
@@ -77,34 +77,49 @@ def errors(name: Column, fields: Column, schemas: dict[str, list[tuple[str, str,
     return F.when(rules.isNull(), F.array(F.lit("tool"))).when(fields.isNull(), F.array(F.lit("arguments"))).otherwise(F.array_sort(found))
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level): 0 without dependencies on other calls, else one more than the
-    highest of them; null in or behind a cycle. One join for each level."""
-    nodes = calls.select("conv_id", "call_id")
-    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("parent"))
-    parents = nodes.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("p"))
-    edges = stored(edges.join(parents, (F.col("conv_id") == F.col("pc")) & (F.col("parent") == F.col("p"))).drop("pc", "p"))
-    waiting = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("need"))
-    done = nodes.join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    parts, left = [stored(done)], stored(edges)
+def _kahn(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(conv_id, call_id, wave) of the nodes that are in no cycle and behind none: 1 for those without
+    edges from other nodes, else one more than the highest of these. One join for each wave."""
+    key = ["conv_id", "call_id"]
+    parts, left = [stored(nodes.join(edges.select(*key).distinct(), key, "left_anti").withColumn("wave", F.lit(1)))], edges
     while not left.isEmpty() and not parts[-1].isEmpty():
-        # A call is ready once none of its parents is waiting.
         met = parts[-1].select("conv_id", F.col("call_id").alias("parent"), F.lit(True).alias("met"))
-        marked = left.join(met, ["conv_id", "parent"], "left")
-        after = stored(marked)
-        open_ = after.where("met is null").drop("met")
-        ready = after.where("met").select("conv_id", "call_id").distinct().join(open_.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-        parts.append(stored(ready.withColumn("level", F.lit(len(parts)))))
-        left = open_
+        marked = stored(left.join(met, ["conv_id", "parent"], "left"))
+        left = marked.where("met is null").drop("met")
+        ready = marked.where("met").select(*key).distinct().join(left.select(*key).distinct(), key, "left_anti")
+        parts.append(stored(ready.withColumn("wave", F.lit(len(parts) + 1))))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
     return out
 
 
+def waves(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, wave), so that (wave, turn, call_id) is a topological order; null in or
+    behind a cycle. Where all dependencies point back, as they do unless a call refers to a later
+    one, (turn, call_id) is such an order already and no call is visited. Else the calls behind such
+    references are put in waves of their own."""
+    key = ["conv_id", "call_id"]
+    edges = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends_on")).alias("parent"))
+    parents = calls.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("p"), F.col("turn").alias("parent_turn"))
+    edges = stored(edges.join(parents, (F.col("conv_id") == F.col("pc")) & (F.col("parent") == F.col("p"))).drop("pc", "p"))
+    ahead = F.coalesce(F.struct("parent_turn", "parent") >= F.struct("turn", "call_id"), F.lit(True))
+    reached = stored(edges.where(ahead).select(*key).distinct())
+    new = reached
+    while not new.isEmpty():  # the calls behind these
+        step = edges.join(new.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*key).distinct()
+        new = stored(step.join(reached, key, "left_anti"))
+        reached = stored(reached.union(new))
+    if reached.isEmpty():
+        return calls.select(*key, F.lit(0).alias("wave"))
+    within = edges.join(reached, key, "left_semi").join(reached.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*key, "parent")
+    later = _kahn(reached, stored(within))
+    return calls.select(*key).join(reached, key, "left_anti").withColumn("wave", F.lit(0)).union(later)
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tuple[str, str, bool]]]) -> DataFrame:
-    """(conv_id, call_id, turn, name, level, status, errors, json): one row for each call and orphan
-    result. In the order of level, turn and call_id every call stands behind those it depends on."""
+    """(conv_id, call_id, turn, name, wave, status, errors, json): one row for each call and orphan
+    result. In the order of wave, turn and call_id every call stands behind those it depends on."""
     key = ["conv_id", "call_id"]
     calls = calls.where("conv_id is not null and call_id is not null")
     first = calls.groupBy(*key).agg(F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("c")).select(*key, "c.*")
@@ -115,7 +130,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tuple[str
     answer = later.where("begun is not null").groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r")).select(*key, F.lit(True).alias("answered"), "r.content")
     orphans = results.join(begun, key, "left").where("begun is null or turn < begun")
 
-    linked = first.join(levels(first), key, "left").join(answer, key, "left")
+    linked = first.join(waves(first), key, "left").join(answer, key, "left")
     linked = linked.withColumn("fields", F.from_json("arguments", "map<string,variant>", {"mode": "PERMISSIVE"}))
     linked = linked.withColumns(
         {
@@ -124,11 +139,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tuple[str
             "args": F.try_parse_json("arguments"),  # keys of a variant are sorted, numbers have one form
         }
     )
-    body = F.struct(F.col("args").alias("arguments"), "call_id", "errors", "level", "name", F.col("content").alias("result"), "status", "turn")
+    body = F.struct(F.col("args").alias("arguments"), "call_id", "errors", "name", F.col("content").alias("result"), "status", "turn", "wave")
     linked = linked.withColumn("json", F.to_json(body, {"ignoreNullFields": "false"}))
     lost = orphans.select(
-        *key, "turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("level"), F.lit("orphan").alias("status"), F.array().cast("array<string>").alias("errors"),
+        *key, "turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("wave"), F.lit("orphan").alias("status"), F.array().cast("array<string>").alias("errors"),
         F.to_json(F.struct("call_id", F.col("content").alias("result"), F.lit("orphan").alias("status"), "turn"), {"ignoreNullFields": "false"}).alias("json"),
     )
-    columns = [*key, "turn", "name", "level", "status", "errors", "json"]
+    columns = [*key, "turn", "name", "wave", "status", "errors", "json"]
     return linked.select(*columns).union(lost.select(*columns))

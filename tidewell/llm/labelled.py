@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, pick
+from tidewell.llm._common import arrow_map, pick, stored
 
 #: Examples of each label, and terms kept.
 PER_CLASS = 1500
@@ -140,9 +140,12 @@ class Example:
     terms: dict[str, int]
 
 
-def examples(docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Column], Column], reader: Reader, id_col: str, text_col: str, per_class: int) -> list[Example]:
-    """At most per_class examples of each label from the rows that may be learned from. A null id
-    or label is no example; of several labels of an id the largest counts; of several texts, each."""
+def examples(
+    docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Column], Column], reader: Reader, id_col: str, text_col: str, per_class: int, n_terms: int
+) -> tuple[list[Example], list[str]]:
+    """At most per_class examples of each label from the rows that may be learned from, and the
+    n_terms terms that tell the labels apart best. Only these terms come to the driver. A null id or
+    label is no example; of several labels of an id the largest counts; of several texts, each."""
     own = pick(labels, id=id_col, label=label).where("id is not null and label in (0, 1)").where(train(F.col("id")))
     own = own.groupBy("id").agg(F.max("label").cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
@@ -156,22 +159,25 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Co
         maps = pa.array([list(c.items()) for c in found], pa.map_(pa.string(), pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), maps], names=["id", "label", "terms"])
 
-    got = arrow_map(rows, run, f"id {kind}, label int, terms map<string,int>").collect()
+    read_ = stored(arrow_map(rows, run, f"id {kind}, label int, terms map<string,int>"))
+    terms = [r["term"] for r in telling_terms(read_, n_terms).collect()]
+    chosen_ = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
+    got = read_.select("id", "label", F.map_filter("terms", lambda t, _: F.array_contains(chosen_, t)).alias("terms")).collect()
     weight = {y: n / min(n, per_class) for y, n in sizes.items()}
-    return sorted((Example(r["id"], r["label"], weight[r["label"]], r["terms"]) for r in got), key=lambda e: (e.label, str(e.id), sorted(e.terms)))
+    found = [Example(r["id"], r["label"], weight[r["label"]], r["terms"]) for r in got]
+    return sorted(found, key=lambda e: (e.label, str(e.id), sorted(e.terms))), terms
 
 
-def telling_terms(found: list[Example], n: int) -> list[str]:
+def telling_terms(read_: DataFrame, n: int) -> DataFrame:
     """The n terms that tell the labels apart best, by the chi-square of occurrence and label."""
-    of = [Counter(t for e in found if e.label == y for t in e.terms) for y in (0, 1)]
-    n0, n1 = (sum(e.label == y for e in found) for y in (0, 1))
-    rated = []
-    for t in of[0].keys() | of[1].keys():
-        x, y = of[1][t], of[0][t]
-        low = (x + y) * (n0 + n1 - x - y) * n0 * n1
-        if x + y >= MIN_EXAMPLES and low:
-            rated.append((-((x * (n0 - y) - y * (n1 - x)) ** 2) * (n0 + n1) / low, t))
-    return [t for _, t in sorted(rated)[:n]]
+    totals = read_.agg(F.count_if(F.col("label") == 1).cast("double").alias("n1"), F.count_if(F.col("label") == 0).cast("double").alias("n0"))
+    each = read_.select("label", F.explode(F.map_keys("terms")).alias("term")).groupBy("term")
+    each = each.agg(F.count_if(F.col("label") == 1).cast("double").alias("x"), F.count_if(F.col("label") == 0).cast("double").alias("y"))
+    each = each.where(F.col("x") + F.col("y") >= MIN_EXAMPLES).join(F.broadcast(totals), F.lit(True))  # totals are one row
+    spread = (F.col("x") + F.col("y")) * (F.col("n0") + F.col("n1") - F.col("x") - F.col("y")) * F.col("n0") * F.col("n1")
+    gap = F.col("x") * (F.col("n0") - F.col("y")) - F.col("y") * (F.col("n1") - F.col("x"))
+    rated = each.where(spread > 0).select("term", (gap * gap * (F.col("n0") + F.col("n1")) / spread).alias("rate"))
+    return rated.orderBy(F.col("rate").desc(), "term").limit(n)
 
 
 def inverse_frequencies(docs: DataFrame, reader: Reader, terms: list[str], text_col: str) -> np.ndarray:

@@ -8,11 +8,12 @@
    0.2 ** FEW; ``least_shared(FEW)`` of them are asked for.
 3. A value that more than LIST classes hold is frequent. Classes with a frequent value among the FEW
    are compared by all K values instead, rarest first: sets that must share t of their values share
-   one of the first K - t + 1. Lists that are still long are cut by size of set. For what remains,
-   a list's most typical class is its centre: all members are compared with it, which links groups
-   of near copies at linear cost. As the distance 1 - J obeys the triangle inequality, a member
-   below ``2 * threshold - 1`` to the centre can't be linked with one that is linked to it. Only the
-   others are compared among themselves, in blocks of bounded size, each a task.
+   one of the first K - t + 1. In lists that are still long, the most typical class is the centre:
+   all members are compared with it, which links groups of near copies at linear cost. Members that
+   are not linked to it form lists again, cut by size of set. As the distance 1 - J obeys the
+   triangle inequality, a member below ``2 * threshold - 1`` to the centre can't be linked with one
+   that is linked to it; the others are compared with all these. What is too long to be paired is
+   compared in blocks of bounded size, each pair of blocks a task.
 4. An estimate from the union of the sketches drops pairs that are far below the threshold, the
    full sets decide on the others, and links make connected components.
 
@@ -271,22 +272,25 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     looked = stored(ranked.select("node", "n", "fame", F.explode(F.slice("vs", F.lit(1), _prefix(F.col("n"), percent))).alias("x")).select("node", "n", "fame", "x.v", "x.df"))
     by_rare = _pairs_of_lists(looked.where("df = 0").select("v", "node", "n"), ["v"], percent)
 
-    band = F.floor(F.log("n") / F.lit(math.log(101 / percent)))  # a little wider than the ratio of sizes
-    long = stored(looked.where("df > 0").select("v", "node", "n", "fame", F.explode(F.array(band, band + 1)).alias("band")))
-    sizes = long.groupBy("v", "band").agg(F.count("*").alias("c"), F.max(F.struct("fame", "node", "n")).alias("top"))
-    sized = stored(long.join(sizes.select("v", "band", "c", F.col("top.node").alias("centre"), F.col("top.n").alias("cn")), ["v", "band"]))
-    by_band = _pairs_of_lists(sized.where(F.col("c") <= LIST).select("v", "band", "node", "n"), ["v", "band"], percent)
+    long = looked.where("df > 0").select("v", "node", "n", "fame")
+    sizes = long.groupBy("v").agg(F.count("*").alias("c"), F.max(F.struct("fame", "node", "n")).alias("top"))
+    sized = stored(long.join(sizes.select("v", "c", F.col("top.node").alias("centre"), F.col("top.n").alias("cn")), "v"))
+    by_list = _pairs_of_lists(sized.where(F.col("c") <= LIST).select("v", "node", "n"), ["v"], percent)
     to_centre = sized.where((F.col("c") > LIST) & (F.col("node") != F.col("centre")))
-    centred = to_centre.where(_close(F.col("n"), F.col("cn"), percent)).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    centred = to_centre.where(_close(F.col("n"), F.col("cn"), 2 * percent - 100)).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
 
-    candidates = by_overlap.select("a", "b").union(by_rare).union(by_band).union(centred).distinct()
+    candidates = by_overlap.select("a", "b").union(by_rare).union(by_list).union(centred).distinct()
     estimated = stored(estimates(candidates, reps))
     found = stored(verified(rows, estimated, reps, size, percent))
 
-    # What is left of the long lists: members that are not linked to their centre.
-    pair = to_centre.select("v", "band", "node", "n", "centre", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    state = stored(pair.join(found.withColumn("linked", F.lit(True)), ["a", "b"], "left").join(estimated, ["a", "b"], "left").drop("exact"))
-    rest = state.where("linked is null").select("v", "band", "node", "n")
+    # What is left of the long lists: members that are not linked to their centre. A class and its
+    # centre meet in many lists, so their state is looked up once.
+    pairs = to_centre.select("node", "centre").distinct().withColumns({"a": F.least("node", "centre"), "b": F.greatest("node", "centre")})
+    state = stored(pairs.join(found.withColumn("linked", F.lit(True)), ["a", "b"], "left").join(estimated, ["a", "b"], "left").drop("exact"))
+    # These lists are cut by size of set: each member stands in two neighbouring bands.
+    band = F.floor(F.log("n") / F.lit(math.log(101 / percent)))  # a little wider than the ratio of sizes
+    rest = to_centre.select("v", "node", "n", "centre").join(state.where("linked"), ["node", "centre"], "left_anti")
+    rest = rest.select("v", "node", "n", F.explode(F.array(band, band + 1)).alias("band"))
     counts = rest.groupBy("v", "band").agg(F.count("*").alias("c"))
     rest = stored(rest.join(counts, ["v", "band"]))
     if rest.isEmpty():

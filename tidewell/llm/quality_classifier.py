@@ -86,8 +86,7 @@ def fit(
     neighbours: int = NEIGHBOURS,
 ) -> Model:
     """Fit on per_class examples of each label at most; term frequencies come from all documents."""
-    found = L.examples(docs, labels, label, train, L.SHAPES, id_col, text_col, per_class)
-    terms = L.telling_terms(found, n_terms)
+    found, terms = L.examples(docs, labels, label, train, L.SHAPES, id_col, text_col, per_class, n_terms)
     return Model(found, terms, L.inverse_frequencies(docs, L.SHAPES, terms, text_col), dimensions, neighbours)
 
 

@@ -18,22 +18,16 @@ def op9_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = """
-WITH RECURSIVE asked AS (
+WITH asked AS (
   SELECT conv_id, 'c' || turn AS call_id, turn, CASE WHEN role = 'system' THEN 'set_context' ELSE 'respond' END AS name, text
   FROM conversations WHERE role IS NULL OR role <> 'assistant'
-), edge AS (SELECT a.conv_id, a.call_id, p.call_id AS parent FROM asked a JOIN asked p ON a.conv_id = p.conv_id AND p.turn IN (a.turn - 1, a.turn - 2)),
-walk AS (
-  SELECT conv_id, call_id, 0 AS level FROM asked
-  UNION
-  SELECT e.conv_id, e.call_id, w.level + 1 FROM walk w JOIN edge e ON w.conv_id = e.conv_id AND w.call_id = e.parent
-), lev AS (SELECT conv_id, call_id, max(level) AS level FROM walk GROUP BY ALL),
-ans AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, turn, text FROM conversations WHERE role = 'assistant'),
+), ans AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, turn, text FROM conversations WHERE role = 'assistant'),
 linked AS (
-  SELECT a.conv_id, a.call_id, a.turn, a.name, lev.level, CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a.text, r.text AS result
-  FROM asked a JOIN lev USING (conv_id, call_id) LEFT JOIN ans r USING (conv_id, call_id)
+  SELECT a.conv_id, a.call_id, a.turn, a.name, CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a.text, r.text AS result
+  FROM asked a LEFT JOIN ans r USING (conv_id, call_id)
 )
-SELECT conv_id, call_id, turn, name, level, status, '' AS errors,
-  to_json({'arguments': {'prompt': text, 'turn': turn}, 'call_id': call_id, 'errors': []::VARCHAR[], 'level': level, 'name': name, 'result': result, 'status': status, 'turn': turn})::VARCHAR AS json
+SELECT conv_id, call_id, turn, name, 0 AS wave, status, '' AS errors,
+  to_json({'arguments': {'prompt': text, 'turn': turn}, 'call_id': call_id, 'errors': []::VARCHAR[], 'name': name, 'result': result, 'status': status, 'turn': turn, 'wave': 0})::VARCHAR AS json
 FROM linked
 UNION ALL
 SELECT conv_id, call_id, turn, NULL, NULL, 'orphan', '', to_json({'call_id': call_id, 'result': text, 'status': 'orphan', 'turn': turn})::VARCHAR
