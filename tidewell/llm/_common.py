@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Python-side work is done on slices of an Arrow batch of at most this many bytes of text.
 SLICE_BYTES = 4 << 20
+#: Size of the Arrow batches between Spark and its Python workers, where the session sets none.
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,8 +54,17 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, as each is held several times: by Spark on its way out and in, by the
+    Python worker, and as Python objects there. A single large row is a batch of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow with a function of one bounded slice; the column ``text`` bounds the slices."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

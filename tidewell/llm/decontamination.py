@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, column_index, pick
+from tidewell.llm._common import arrow_map, bound_batches, column_index, pick
 
 WINDOW = 10
 #: Words of one block of items; an automaton has at most twice as many states.
@@ -241,6 +241,7 @@ def clean(
 ) -> DataFrame:
     """The same rows and columns with covered spans cut out of the text; a row goes if more than
     ``max_coverage`` of its words are covered."""
+    bound_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     blocks = [sc.broadcast(a) for a in automata(items, item_id_col, item_text_col, window, block_words)]
 

@@ -54,7 +54,7 @@ BROADCAST_IDS = 1_000_000
 #: Deviations that an estimate may be below the threshold.
 DEVIATIONS = 7
 #: Words whose hashes a worker remembers; beyond it the memory starts anew.
-WORD_MEMORY = 300_000
+WORD_MEMORY = 100_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)

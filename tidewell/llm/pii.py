@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import spans as S
-from tidewell.llm._common import column_index
+from tidewell.llm._common import bound_batches, column_index
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -208,6 +208,7 @@ def masked(text: str, spans: list[S.Span]) -> str:
 
 def mask(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns, with personal data in the text replaced by its kind."""
+    bound_batches(df.sparkSession)
 
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:

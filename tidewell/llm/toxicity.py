@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import labelled as L
-from tidewell.llm._common import arrow_map, column_index, pick
+from tidewell.llm._common import arrow_map, bound_batches, column_index, pick
 
 TERMS, NEIGHBOURS, BLOCK = 256, 10, 64
 #: Votes: power of the similarity, and the weight of the prior.
@@ -153,6 +153,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows whose score is below the limit, with all their columns."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
