@@ -24,7 +24,7 @@ from tidewell.llm._common import arrow_map, pick, stored
 #: Examples of each label, and terms kept.
 PER_CLASS = 1500
 #: Tokens whose terms a worker remembers; beyond it the memory starts anew.
-TOKEN_MEMORY = 100_000
+TOKEN_MEMORY = 50_000
 #: Least examples that a term occurs in.
 MIN_EXAMPLES = 5
 

@@ -32,7 +32,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -54,7 +53,7 @@ BROADCAST_IDS = 1_000_000
 #: Deviations that an estimate may be below the threshold.
 DEVIATIONS = 7
 #: Words whose hashes a worker remembers; beyond it the memory starts anew.
-WORD_MEMORY = 100_000
+WORD_MEMORY = 50_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -224,7 +223,9 @@ def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int)
     m = m.withColumn("j", F.explode(others)).withColumns({"lo": F.least("i", "j"), "hi": F.greatest("i", "j")})
     m = m.select("g", "lo", "hi", "i", "node", "root").join(sets, "node")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group):
+        import pandas as pd  # here only, as the other steps' workers do without
+
         nodes, roots, vals = group["node"].tolist(), group["root"].tolist(), group["vals"].tolist()
         lo, one = group["lo"].iloc[0], group["lo"].iloc[0] == group["hi"].iloc[0]
         left = [k for k, i in enumerate(group["i"]) if i == lo]
