@@ -116,3 +116,28 @@ def test_counter_agrees_with_reader():
         terms = sorted(want)
         got = L.Counted(reader, terms)(text)
         assert {terms[i]: n for i, n in got.items()} == dict(want)
+
+
+def test_every_term_of_the_examples_counts(spark):
+    """Each toxic example has an insult of its own, so no short list of terms has them all."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    name = lambda i: "".join("mnopqrstuv"[int(d)] for d in f"{i:04d}") + "zxq"
+    rows = [(i, " ".join([*(word() for _ in range(20)), *([name(i % 400)] * 3 if i < 800 else [])])) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    labels = spark.createDataFrame([(i, int(i < 800)) for i in [*range(400), *range(800, 1200)]], "doc_id int, toxic int")
+    model = toxicity.fit(docs, labels, lambda i: i.isNotNull())
+    assert {name(i) for i in range(400)} <= set(model.terms)
+    only = spark.createDataFrame([(i, name(i)) for i in range(400)], "doc_id int, text string")  # nothing but the insult
+    found = {r.doc_id: r for r in toxicity.score(only, model).collect()}
+    assert all(found[i].score > 0.5 and found[i].evidence[0].id == i for i in range(400))
+    poor = quality_classifier.fit(docs, labels, lambda i: i.isNotNull(), label="toxic")
+    assert {name(i) for i in range(400)} <= set(poor.terms)
+
+
+def test_axes_are_those_of_a_dense_decomposition():
+    rng = np.random.default_rng(4)
+    dense = (rng.random((60, 90)) < 0.2) * rng.random((60, 90))
+    axes = quality_classifier.principal_axes([(np.flatnonzero(v), v[v > 0]) for v in dense], 90, 5)
+    _, _, want = np.linalg.svd(dense, full_matrices=False)
+    assert np.allclose(np.abs(axes.T @ want[:5].T), np.eye(5), atol=1e-4)

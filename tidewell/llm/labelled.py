@@ -1,8 +1,10 @@
 """What the two nearest-neighbour classifiers share: labelled examples, terms and their statistics.
 
 The classifiers learn from a bounded sample of labelled rows (``per_class`` of each label, a
-documented parameter), chosen by a hash of the id. Document frequencies are counted over all
-documents. Scores never see the label tables' or the documents' other columns.
+documented parameter), chosen by a hash of the id. Every term of these examples counts, weighted by
+how well it tells the labels apart, unless a caller asks for the best ``n_terms``. Document
+frequencies are counted over all documents. Scores never see the label tables' or the documents'
+other columns.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -19,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, pick, stored
+from tidewell.llm._common import arrow_map, bound_batches, pick, slices, stored
 
-#: Examples of each label, and terms kept.
+#: Examples of each label.
 PER_CLASS = 1500
 #: Tokens whose terms a worker remembers; beyond it the memory starts anew.
 TOKEN_MEMORY = 50_000
-#: Least examples that a term occurs in.
+#: Least examples that a term occurs in, where only the best terms are asked for.
 MIN_EXAMPLES = 5
+#: Least rate of a term, so that none is without weight.
+LEAST_RATE = 0.01
 
 #: A term that a text has this often or more is also a term of its own, as a cosine alone can't
 #: tell one occurrence from many.
@@ -141,11 +145,12 @@ class Example:
 
 
 def examples(
-    docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Column], Column], reader: Reader, id_col: str, text_col: str, per_class: int, n_terms: int
+    docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Column], Column], reader: Reader, id_col: str, text_col: str, per_class: int, n_terms: int | None
 ) -> tuple[list[Example], list[str]]:
-    """At most per_class examples of each label from the rows that may be learned from, and the
-    n_terms terms that tell the labels apart best. Only these terms come to the driver. A null id or
-    label is no example; of several labels of an id the largest counts; of several texts, each."""
+    """At most per_class examples of each label from the rows that may be learned from, and all their
+    terms in order, or the n_terms that tell the labels apart best. What comes to the driver is
+    bounded by the sample. A null id or label is no example; of several labels of an id the largest
+    counts; of several texts, each."""
     own = pick(labels, id=id_col, label=label).where("id is not null and label in (0, 1)").where(train(F.col("id")))
     own = own.groupBy("id").agg(F.max("label").cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
@@ -160,14 +165,36 @@ def examples(
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), maps], names=["id", "label", "terms"])
 
     read_ = stored(arrow_map(rows, run, f"id {kind}, label int, terms map<string,int>"))
-    terms = [r["term"] for r in telling_terms(read_, n_terms).collect()]
-    chosen_ = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
-    got = read_.select("id", "label", F.map_filter("terms", lambda t, _: F.array_contains(chosen_, t)).alias("terms")).collect()
+    if n_terms is None:
+        got, terms = read_.select("id", "label", "terms"), [r["term"] for r in read_.select(F.explode(F.map_keys("terms")).alias("term")).distinct().toLocalIterator()]
+        terms.sort()
+    else:
+        terms = [r["term"] for r in telling_terms(read_, n_terms).collect()]
+        chosen_ = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
+        got = read_.select("id", "label", F.map_filter("terms", lambda t, _: F.array_contains(chosen_, t)).alias("terms"))
     weight = {y: n / min(n, per_class) for y, n in sizes.items()}
-    found = [Example(r["id"], r["label"], weight[r["label"]], r["terms"]) for r in got]
+    same = dict(zip(terms, terms, strict=True))  # each term is held once
+    found = [Example(r["id"], r["label"], weight[r["label"]], {same[t]: n for t, n in r["terms"].items()}) for r in got.toLocalIterator()]
     return sorted(found, key=lambda e: (e.label, str(e.id), sorted(e.terms))), terms
 
 
+def telling(found: list[Example], terms: list[str]) -> np.ndarray:
+    """Root of each term's chi-square of occurrence and label among the examples, LEAST_RATE at least:
+    in plain TF-IDF cosines the many words that tell nothing outweigh those that do. Without examples
+    of both labels all terms weigh the same."""
+    number, has = {t: i for i, t in enumerate(terms)}, np.zeros((2, len(terms)))
+    for e in found:
+        has[e.label, [number[t] for t in e.terms if t in number]] += 1
+    n1 = float(sum(e.label for e in found))
+    n0 = len(found) - n1
+    if not n0 or not n1:
+        return np.ones(len(terms))
+    y, x = has
+    spread = (x + y) * (n0 + n1 - x - y) * n0 * n1
+    gap = x * (n0 - y) - y * (n1 - x)
+    return np.sqrt(np.maximum(gap * gap * (n0 + n1) / np.where(spread > 0, spread, np.inf), LEAST_RATE))
+
+
 def telling_terms(read_: DataFrame, n: int) -> DataFrame:
     """The n terms that tell the labels apart best, by the chi-square of occurrence and label."""
     totals = read_.agg(F.count_if(F.col("label") == 1).cast("double").alias("n1"), F.count_if(F.col("label") == 0).cast("double").alias("n0"))
@@ -183,19 +210,22 @@ def telling_terms(read_: DataFrame, n: int) -> DataFrame:
 def inverse_frequencies(docs: DataFrame, reader: Reader, terms: list[str], text_col: str) -> np.ndarray:
     """log(N / df) + 1 of each term, counted over all documents."""
     rows = pick(docs, text=text_col)
+    bound_batches(rows.sparkSession)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, df = _counter(reader, terms), np.zeros(len(terms) + 1, np.int64)
-        for text in batch.column(0).to_pylist():
-            df[list(count(text or ""))] += 1
-            df[-1] += 1
+        for batch in batches:
+            for part in slices(batch):
+                for text in part.column(0).to_pylist():
+                    found = count(text or "")
+                    df[np.fromiter(found, np.int64, len(found))] += 1
+                    df[-1] += 1
         at = np.flatnonzero(df)
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["term", "df"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["term", "df"])
 
-    total = arrow_map(rows, run, "term int, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    total = rows.mapInArrow(run, "term int, df bigint").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df = np.ones(len(terms) + 1)
-    for r in total:
-        df[r["term"]] = r["df"]
+    df[total.column("term").to_numpy()] = total.column("df").to_numpy()
     return np.log(max(df[-1], 1.0) / np.minimum(df[:-1], df[-1])) + 1
 
 
@@ -217,11 +247,37 @@ def counter(reader: Reader, terms: list[str]) -> Counted:
 
 def weights(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers in order and their TF-IDF weights, of length 1 together."""
-    at = np.array(sorted(counts), np.int64)
-    w = (1 + np.log([counts[i] for i in at.tolist()])) * idf[at] if len(at) else np.empty(0)
+    at, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
+    order = np.argsort(at)
+    at = at[order]
+    w = (1 + np.log(n[order])) * idf[at]
     return at, w / (np.sqrt((w * w).sum()) or 1.0)
 
 
+class Rows:
+    """Sparse rows one after the other: columns, values, and where each row starts."""
+
+    def __init__(self, at: np.ndarray, values: np.ndarray, starts: np.ndarray) -> None:
+        self.at, self.values, self.starts = at, values, starts
+
+    @classmethod
+    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Rows:
+        starts = np.concatenate([[0], np.cumsum([len(at) for at, _ in vectors], dtype=np.int64)]).astype(np.int64)
+        at = np.concatenate([np.empty(0, np.int64), *(a for a, _ in vectors)]).astype(np.int32)
+        return cls(at, np.concatenate([np.empty(0), *(w for _, w in vectors)]), starts)
+
+    def turned(self, n_columns: int) -> Rows:
+        """The columns as rows."""
+        order = np.argsort(self.at, kind="stable")
+        own = np.repeat(np.arange(len(self.starts) - 1, dtype=np.int32), np.diff(self.starts))
+        return Rows(own[order], self.values[order], np.searchsorted(self.at[order], np.arange(n_columns + 1)))
+
+    def places(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the values of these rows are, one row after the other, and how many each has."""
+        first, n = self.starts[rows], self.starts[rows + 1] - self.starts[rows]
+        return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
+
+
 def votes(similarity: np.ndarray, labels: np.ndarray, rows: np.ndarray, prior: float, power: float, smoothing: float) -> float:
     """Share of label 1 among neighbours, each weighted by the power of its similarity and by the
     rows that it stands for; the prior has a little weight of its own."""

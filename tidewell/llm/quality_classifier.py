@@ -1,7 +1,7 @@
 """Quality by nearest-neighbour voting among labelled latent-semantic vectors.
 
-The examples' TF-IDF rows, over the terms that tell the labels apart, are reduced by a truncated
-singular value decomposition. The reduced, normalised vectors go to every task; each document is
+The examples' TF-IDF rows, over all their terms, each weighted by how well it tells the labels apart,
+are reduced by a truncated singular value decomposition, taken from the products of the rows. The reduced, normalised vectors go to every task; each document is
 projected the same way, its cosines with all examples are exact products of blocks, and the nearest
 vote with their labels, weighted by similarity.
 
@@ -21,39 +21,31 @@ from pyspark.sql import Column, DataFrame
 from tidewell.llm import labelled as L
 from tidewell.llm._common import arrow_map, pick
 
-TERMS, DIMENSIONS, NEIGHBOURS = 512, 64, 10
+DIMENSIONS, NEIGHBOURS = 64, 10
 POWER, SMOOTHING = 4, 0.05
-#: Documents of one block of products.
-BLOCK = 512
+#: Documents of one block of products, and terms or examples of one block of the fit.
+BLOCK, PART = 512, 1024
 
 
 class Model:
     """The projection, the examples' reduced vectors and their labels."""
 
     def __init__(self, found: list[L.Example], terms: list[str], idf: np.ndarray, dimensions: int, neighbours: int) -> None:
-        self.terms, self.idf, self.k = terms, idf, min(neighbours, len(found))
+        self.terms, self.idf, self.k = terms, idf * L.telling(found, terms), min(neighbours, len(found))
         self.labels, self.rows = np.array([e.label for e in found], float), np.array([e.weight for e in found], float)
         self.prior = float((self.labels * self.rows).sum() / self.rows.sum()) if found else 0.0
         number = {t: i for i, t in enumerate(terms)}
         table = self._table([{number[t]: n for t, n in e.terms.items() if t in number} for e in found])
-        if found and terms:
-            _, _, axes = np.linalg.svd(table.astype(np.float64), full_matrices=False)
-            axes = axes[:dimensions]
-            signs = np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(axis=1)])
-            self.axes = (axes * signs[:, None]).T.astype(np.float32)
-        else:
-            self.axes = np.zeros((len(terms), 1), np.float32)
+        self.axes = principal_axes(table, len(terms), dimensions) if found and terms else np.zeros((len(terms), 1), np.float32)
         self.vectors = self._reduced(table)
 
-    def _table(self, counted: list[dict[int, int]]) -> np.ndarray:
-        out = np.zeros((len(counted), len(self.terms)), np.float32)
-        for row, counts in enumerate(counted):
-            at, w = L.weights(counts, self.idf)
-            out[row, at] = w
-        return out
+    def _table(self, counted: list[dict[int, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [L.weights(counts, self.idf) for counts in counted]
 
-    def _reduced(self, table: np.ndarray) -> np.ndarray:
-        low = table @ self.axes
+    def _reduced(self, table: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        low = np.zeros((len(table), self.axes.shape[1]), np.float32)
+        for row, (at, w) in enumerate(table):
+            low[row] = w.astype(np.float32) @ self.axes[at]
         return low / np.maximum(np.linalg.norm(low, axis=1, keepdims=True), 1e-9)
 
     def score(self, counted: list[dict[int, int]]) -> tuple[list[float], list[list[int]]]:
@@ -73,6 +65,37 @@ class Model:
         return scores, near
 
 
+def principal_axes(table: list[tuple[np.ndarray, np.ndarray]], n_terms: int, dimensions: int) -> np.ndarray:
+    """The right singular vectors of the largest singular values, a column each. The rows' products
+    are summed over blocks of terms, so no table of all examples and terms is held."""
+    rows = L.Rows.of(table)
+    lists = rows.turned(n_terms)
+    products = np.zeros((len(table), len(table)))
+    # A term of few examples adds to few products; the others are taken in dense blocks.
+    size = np.diff(lists.starts)
+    for n in range(1, 9):
+        of = np.flatnonzero(size == n)
+        at, w = (x[lists.places(of)[0]].reshape(-1, n) for x in (lists.at, lists.values))
+        for i in range(n):
+            for j in range(n):
+                np.add.at(products, (at[:, i], at[:, j]), w[:, i] * w[:, j])
+    common = np.flatnonzero(size > 8)
+    for start in range(0, len(common), PART):
+        places, n = lists.places(common[start : start + PART])
+        block = np.zeros((len(table), len(n)))
+        block[lists.at[places], np.repeat(np.arange(len(n)), n)] = lists.values[places]
+        products += block @ block.T
+    values, left = np.linalg.eigh(products)
+    top = np.argsort(-values)[:dimensions]
+    top = top[values[top] > 1e-10 * max(values.max(), 1e-300)]
+    left = left[:, top] / np.sqrt(values[top])
+    axes = np.zeros((n_terms, len(top)))
+    for (at, w), own in zip(table, left, strict=True):
+        axes[at] += w[:, None] * own
+    signs = np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(top))])
+    return (axes * signs).astype(np.float32)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -81,7 +104,7 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     per_class: int = L.PER_CLASS,
-    n_terms: int = TERMS,
+    n_terms: int | None = None,
     dimensions: int = DIMENSIONS,
     neighbours: int = NEIGHBOURS,
 ) -> Model:
@@ -93,7 +116,7 @@ def fit(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row."""
     rows = pick(docs, id=id_col, text=text_col)
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: examples times dimensions
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: terms and examples times dimensions
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         count = L.counter(L.SHAPES, shared.value.terms)

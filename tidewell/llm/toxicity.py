@@ -1,10 +1,10 @@
 """Toxicity by the nearest labelled examples.
 
-Texts are TF-IDF vectors of the terms that tell the labels apart (words and their beginnings). The
-examples' vectors are an inverted index in blocks; with the largest weight of each term in each
-block, a query's products are bounded from above, and blocks are visited in order of their bounds
-until none can hold a nearer example. So the cosines of the nearest examples are exact. They vote,
-weighted by similarity; a logistic curve, fitted to votes on the examples without themselves, makes
+Texts are TF-IDF vectors of all terms of the examples (words and their beginnings), each weighted by
+how well it tells the labels apart. The examples' vectors are an inverted index; with the largest
+weight of each term, what a query's remaining terms can still add is bounded from above, and lists are
+read in order of their bounds until only few examples can be among the nearest, whose products are then
+taken in full. So the cosines of the nearest examples are exact. They vote, weighted by similarity; a logistic curve, fitted to votes on the examples without themselves, makes
 the votes probabilities; the nearest examples are the evidence.
 
 Defined results: a null text counts as empty; a text without any of the terms gets the share of
@@ -25,53 +25,46 @@ from pyspark.sql import functions as F
 from tidewell.llm import labelled as L
 from tidewell.llm._common import arrow_map, bound_batches, column_index, pick
 
-TERMS, NEIGHBOURS, BLOCK = 256, 10, 64
+NEIGHBOURS = 10
+#: Lists read before the first look at what is left, and examples whose products are taken in full.
+LISTS, FULL = 16, 64
 #: Votes: power of the similarity, and the weight of the prior.
 POWER, SMOOTHING = 4, 0.05
 
 
 class Index:
-    """Block-max inverted index of the examples' vectors."""
+    """Inverted index of the examples' vectors with the largest weight of each term."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
-        self.size = len(vectors)
-        # Examples of like weights stand together, so that the blocks' bounds are tight.
-        lead = [(int(at[w.argmax()]) if len(at) else -1, i) for i, (at, w) in enumerate(vectors)]
-        self.order = np.array([i for _, i in sorted(lead)], np.int64)
-        n_blocks = -(-self.size // BLOCK)
-        self.bound = np.zeros((n_terms, n_blocks))
-        lists: list[list[list[tuple[int, float]]]] = [[[] for _ in range(n_blocks)] for _ in range(n_terms)]
-        for place, i in enumerate(self.order.tolist()):
-            b, within = divmod(place, BLOCK)
-            for t, w in zip(*vectors[i], strict=True):
-                lists[t][b].append((within, w))
-                self.bound[t, b] = max(self.bound[t, b], w)
-        self.lists = [[(np.array([p for p, _ in x], np.int64), np.array([w for _, w in x])) if x else None for x in of] for of in lists]
+        self.size, self.n_terms = len(vectors), n_terms
+        self.rows = L.Rows.of(vectors)
+        self.lists = self.rows.turned(n_terms)
+        self.bound = np.zeros(n_terms)
+        np.maximum.at(self.bound, self.rows.at, self.rows.values)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples, or fewer if fewer share a term: numbers and exact cosines, by
         cosine, then number."""
-        bounds = weights @ self.bound[terms]
-        found_at: list[np.ndarray] = []
-        found: list[np.ndarray] = []
-        n, least = 0, 0.0
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or n >= k and bounds[b] < least - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                if (x := self.lists[t][b]) is not None:
-                    scores[x[0]] += w * x[1]
-            hit = np.flatnonzero(scores > 0)
-            found_at.append(self.order[b * BLOCK + hit])
-            found.append(scores[hit])
-            n += len(hit)
-            if n >= k:
-                every = np.concatenate(found)
-                least = np.partition(every, len(every) - k)[len(every) - k]
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
-        at, s = np.concatenate(found_at), np.round(np.concatenate(found), 12)
+        bounds = weights * self.bound[terms]
+        order = np.argsort(-bounds, kind="stable")
+        left = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what the lists from here on can add
+        scores, done, step = np.zeros(self.size), 0, LISTS
+        some = np.arange(self.size)
+        while done < len(order):
+            now = order[done : done + step]
+            places, n = self.lists.places(terms[now])
+            scores += np.bincount(self.lists.at[places], self.lists.values[places] * np.repeat(weights[now], n), self.size)
+            done, step = min(done + step, len(order)), step * 2
+            if self.size > k:
+                least = np.partition(scores, self.size - k)[self.size - k]
+                some = np.flatnonzero(scores >= least - left[done] - 1e-9) if least > left[done] else np.arange(self.size)
+                if len(some) <= max(FULL, 2 * k):
+                    break
+        query = np.zeros(self.n_terms)
+        query[terms] = weights
+        places, n = self.rows.places(some)
+        s = np.bincount(np.repeat(np.arange(len(some)), n), query[self.rows.at[places]] * self.rows.values[places], len(some))
+        at, s = some[s > 0], np.round(s[s > 0], 12)
         top = np.lexsort((at, -s))[:k]
         return at[top], s[top]
 
@@ -81,11 +74,11 @@ class Model:
 
     def __init__(self, found: list[L.Example], terms: list[str], idf: np.ndarray, neighbours: int) -> None:
         found = sorted(found, key=lambda e: (str(type(e.id)), e.id))
-        self.terms, self.idf, self.k = terms, idf, neighbours
+        self.terms, self.idf, self.k = terms, idf * L.telling(found, terms), neighbours
         self.ids = [e.id for e in found]
         self.labels, self.rows = np.array([e.label for e in found], float), np.array([e.weight for e in found], float)
         number = {t: i for i, t in enumerate(terms)}
-        vectors = [L.weights({number[t]: n for t, n in e.terms.items() if t in number}, idf) for e in found]
+        vectors = [L.weights({number[t]: n for t, n in e.terms.items() if t in number}, self.idf) for e in found]
         self.index = Index(vectors, len(terms))
         total = self.rows.sum()
         self.prior = float((self.labels * self.rows).sum() / total) if total else 0.0
@@ -121,7 +114,7 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     per_class: int = L.PER_CLASS,
-    n_terms: int = TERMS,
+    n_terms: int | None = None,
     neighbours: int = NEIGHBOURS,
 ) -> Model:
     """Fit on per_class examples of each label at most; term frequencies come from all documents."""
@@ -132,7 +125,7 @@ def fit(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, evidence): evidence holds id, similarity and label of the nearest examples."""
     rows = pick(docs, id=id_col, text=text_col)
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: examples times terms
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of the examples
     kind = rows.schema["id"].dataType.simpleString()
     id_type = rows.schema["id"].dataType
 
