@@ -225,3 +225,18 @@ def test_jobs(spark):
     jobs.close()
     with pytest.raises(RuntimeError), jobs.running():
         pass
+
+
+def test_an_append_is_left_out_only_by_the_load_id_of_the_caller(spark, home, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    rows, stage = spark.read.parquet(f"{tmp_path}/in"), f"{home}-stage"
+    assert put(rows.where("id < 4"), home, "append", stage_dir=stage) == 4
+    assert put(rows.where("id >= 4"), home, "append", stage_dir=stage) == 6  # other rows of the same files
+    assert put(spark.range(20, 22), home, "append", load_id="a") == 2
+    assert put(spark.range(20, 22), home, "append", load_id="a") == 0
+    assert put(spark.range(22, 23), home, "append", load_id="b") == 1
+    assert put(spark.range(23, 24), home, "append", load_id="b", force="on") == 1
+    assert ids(got(spark, home)) == [*range(10), *range(20, 24)]
+    import hashlib
+
+    assert hashlib.sha256(b"a").hexdigest() in Store(spark, home).manifest("PUBLIC/T").loaded  # of no session

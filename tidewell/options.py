@@ -27,7 +27,7 @@ BOOLEANS = {
 }
 INTEGERS = {"partition_size_in_mb": 100, "expected_partition_count": 1000, "s3maxfilesize": 10_000_000, "max_records_per_file": 0}
 TEXTS = (
-    "dbtable", "query", "sfdatabase", "sfschema", "tempdir", "stage_dir", "warehouse_dir", "preactions", "postactions", "columnmap",
+    "dbtable", "query", "sfdatabase", "sfschema", "tempdir", "stage_dir", "load_id", "warehouse_dir", "preactions", "postactions", "columnmap",
     "column_mapping", "column_mismatch_behavior", "string_timestamp_format", "sftimezone", "timestamp_ntz_output_format",
     "timestamp_ltz_output_format", "timestamp_tz_output_format", "time_output_format",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping
 
@@ -75,9 +76,9 @@ class Writer:
         # All strategies share one way: a new version is written first and then becomes the table, or
         # a part of it, in one step. So a failure at any point leaves the table as it was.
         runtime.run_actions(self.spark, o.get("preactions"), name)
-        load = load_id(df) if not o["force"] and self._mode == "append" and o.get("stage_dir") else None
+        load = load_key(o.get("load_id")) if not o["force"] and self._mode == "append" else None
         if load and now and load in now.loaded:
-            log.info("%s: these files have been loaded before", name)
+            log.info("%s: the load %s has been done before", name, o.get("load_id"))
             return 0
         version, n = store.write_version(folder, rows, o["max_records_per_file"])
         try:
@@ -124,7 +125,7 @@ def prepared(df: DataFrame, schema: StructType, fresh: bool, o: Options) -> Data
     return mapping.aligned(parsed, schema, {t: t for t in pairs.values()})
 
 
-def load_id(df: DataFrame) -> str | None:
-    """What a load of staged files is known by: the files that the rows come from."""
-    files = df.inputFiles()
-    return str(hash(tuple(sorted(files)))) if files else None
+def load_key(load_id: str | None) -> str | None:
+    """What a table remembers of a load that its caller has named: the same in every session. Rows are
+    never taken for the same because of the files that they come from."""
+    return hashlib.sha256(load_id.encode()).hexdigest() if load_id else None
