@@ -44,3 +44,9 @@ def test_every_query_of_the_library_has_sql():
 def test_scan_reads_only_what_is_asked_for(spark):
     plan = registry.queries()["filter_range"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_quantity,10" in plan and "l_extendedprice" not in plan.split("ReadSchema")[1]
+
+
+def test_joins_and_loads_of_whole_tables(spark):
+    found, size = registry.queries(), lambda t: spark.read.parquet(f"{DATA}/{t}.parquet").count()
+    assert found["join_right_whole"](spark, DATA).count() == size("orders")
+    assert found["write_trim_documents"](spark, DATA).count() == found["copy_truncate_documents"](spark, DATA).count() == size("documents")

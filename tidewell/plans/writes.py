@@ -96,6 +96,16 @@ def copy_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Bench(spark).put(rows, truncate_columns="on").get()
 
 
+def write_trim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("\t  <"), "text", F.lit("> \n ")).alias("text"))
+    return Bench(spark).put(rows, trim_space="on").get()
+
+
+def copy_truncate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("text", metadata={"maxlength": 40}))
+    return Bench(spark).put(rows, truncate_columns="on").get()
+
+
 def write_string_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     text = events.select("event_id", F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("ts"))
@@ -143,7 +153,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         write_append, write_ignore, write_insert, write_self_overwrite, write_empty, write_columnmap, write_map_by_name, write_map_ignore, write_map_order, write_trim,
-        copy_truncate, write_string_ts, copy_on_error, catalog_fallback, stream_append,
+        copy_truncate, write_trim_documents, copy_truncate_documents, write_string_ts, copy_on_error, catalog_fallback, stream_append,
     )
 }
 ORACLES = dict.fromkeys(("write_overwrite", "write_overwrite_truncate_staged", "write_overwrite_direct", "write_overwrite_truncate"), "SELECT * FROM nation WHERE n_regionkey = 1") | {
@@ -158,6 +168,8 @@ ORACLES = dict.fromkeys(("write_overwrite", "write_overwrite_truncate_staged", "
     "write_map_order": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "write_trim": "SELECT n_nationkey, n_name FROM nation",
     "copy_truncate": "SELECT n_nationkey, substring(n_name, 1, 4) AS n_name FROM nation",
+    "write_trim_documents": "SELECT doc_id, '<' || text || '>' AS text FROM documents",
+    "copy_truncate_documents": "SELECT doc_id, substring(text, 1, 40) AS text FROM documents",
     "write_string_ts": "SELECT event_id, date_trunc('second', ts)::TIMESTAMP AS ts FROM events",
     "copy_on_error": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events WHERE event_id % 7 <> 0",
     "catalog_fallback": "SELECT * FROM nation",
