@@ -132,3 +132,10 @@ def test_queries_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
             docs.toDF("doc_id", "text", "lang", *docs.columns[3:]).write.parquet(f"{path}/documents.parquet")
             out = query(spark, path).collect()
             assert len(out) == n and all(r.spans == "" for r in out)
+
+
+def test_plain_dots_may_stand_before_a_disguised_one():
+    for text in ("ask jane at mail.example dot com now", "ask jane at mail.sub.example (dot) com now"):
+        (kind, start, end), = pii.disguised(text)
+        assert kind == "email" and text[start:end].startswith("jane at mail.") and text[start:end].endswith("com")
+    assert pii.disguised("we met at example.com and at noon") == []

@@ -58,9 +58,11 @@ _GAP = rf"[\s,.-]{{1,3}}(?:(?:{_DOT})[\s,-]{{1,3}})?"
 SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?P<plus>plus)[\s,-]+)?(?:{_WORD})(?:{_GAP}(?:{_WORD}|[0-9]+)){{2,}}(?!\w)")
 DIGIT_WORD = re.compile(rf"(?i)(?<!\w)(?:{_WORD})(?!\w)|[0-9]")
 DOT_WORD = re.compile(rf"(?i)\b(?:{_DOT})\b")
+#: A spelled " at " between spaces counts if at least one dot of what follows is disguised, after plain ones
+#: or not. Not taken, as prose has such words too: "jane at example.com" and "jane_at_example_dot_com".
 OPEN, CLOSE = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 SIGNS = re.compile(
-    rf"(?i)(?P<at>(?<=[\w%+-]){OPEN}(?:{_AT}|@){CLOSE}(?=\w)|(?<=[\w%+-])\s(?:{_AT})\s(?=[\w-]+(?:\s(?:{_DOT})\s|{OPEN}(?:{_DOT}|\.){CLOSE})\w))"
+    rf"(?i)(?P<at>(?<=[\w%+-]){OPEN}(?:{_AT}|@){CLOSE}(?=\w)|(?<=[\w%+-])\s(?:{_AT})\s(?=[\w-]+(?:\.[\w-]+)*(?:\s(?:{_DOT})\s|{OPEN}(?:{_DOT}|\.){CLOSE})\w))"
     rf"|(?P<dot>(?<=\w){OPEN}(?:{_DOT}|\.){CLOSE}(?=\w)|(?<=\w)\s(?:{_DOT})\s(?=\w))"
 )
 #: RE2 patterns of texts that are worth a second look.
