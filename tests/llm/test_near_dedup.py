@@ -98,3 +98,9 @@ def _frame():
     from pyspark.sql import SparkSession
 
     return SparkSession.active().createDataFrame([], "doc_id int, text string")
+
+
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, ""), (4, a), (4, "")], "doc_id int, text string")
+    assert sorted(map(tuple, N.drop_duplicates(df).collect())) == [(1, a), (2, b), (3, ""), (4, "")]

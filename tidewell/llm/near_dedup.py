@@ -317,6 +317,11 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: sets of at least ``percent`` similarity
     are linked, and kept is true for the smallest id that is reachable."""
+    return _judged(df, id_col, text_col, size, percent).drop("key").withColumnRenamed("_id", id_col)
+
+
+def _judged(df: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """As near_duplicates, with the digest of each row's set."""
     if percent < 70:
         raise ValueError("the first lists are too short for less than 70 percent")
     rows = pick(df, id=id_col, text=text_col)
@@ -330,7 +335,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = own.select("id", "n", "key").join(of.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
     component = F.when(single, F.col("id")).otherwise(F.col("root"))
     return out.select(
-        F.col("id").alias(id_col),
+        F.col("id").alias("_id"),
+        "key",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         (F.col("id").isNull() | F.col("id").eqNullSafe(component)).alias("kept"),
@@ -339,15 +345,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all columns: that of the smallest id, and of its rows
-    repeated with the same text, one. Only ids are joined, so texts are not shuffled while the
+    repeated with the same text, one. Of an id with several texts, each is judged by itself. Only ids are joined, so texts are not shuffled while the
     documents to drop are few enough to be broadcast."""
-    found = stored(near_duplicates(df, id_col, text_col, size, percent).withColumnRenamed(id_col, "_id"))
+    found = stored(_judged(df, id_col, text_col, size, percent))
     names = [f"_c{i}" for i in range(len(df.columns))]
     own, text = (F.col(f"_c{column_index(df, c)}") for c in (id_col, text_col))
     flat = df.toDF(*names)
     gone = stored(found.where("not kept").select("_id").distinct())
     small = gone.count() <= BROADCAST_IDS
     out = flat.join(F.broadcast(gone) if small else gone, own == F.col("_id"), "left_anti")
+    # Ids of which one text is kept and another is not: their rows are told apart by the sets.
+    torn = stored(found.join(F.broadcast(gone) if small else gone, "_id", "left_semi").where("kept").select("_id", "key").distinct())
+    if not torn.isEmpty():
+
+        @F.arrow_udf("binary")
+        def digest(texts: pa.Array) -> pa.Array:
+            sets = [shingles(t, size) for t in texts.to_pylist()]
+            return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+
+        some = flat.join(torn.select("_id").distinct(), own == F.col("_id"), "left_semi").withColumn("_key", digest(text))
+        out = out.unionByName(some.join(torn, (own == F.col("_id")) & F.col("_key").eqNullSafe(F.col("key")), "left_semi").drop("_key"))
     repeated = stored(found.where("kept and _id is not null").groupBy("_id").count().where("count > 1").select("_id"))
     if not repeated.isEmpty():
         single = out.join(repeated, own == F.col("_id"), "left_anti")
