@@ -1,7 +1,11 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewell.llm import labelled as L
@@ -56,18 +60,115 @@ def test_toxicity_on_held_out_rows(spark, tables):
     assert kept == {r.doc_id for r in rows if r.score < 0.5}
 
 
-def test_index_gives_exact_cosines():
+def rows_of(dense):
+    return L.Rows(np.nonzero(dense)[1].astype(np.int32), dense[dense > 0].astype(np.float32), np.concatenate([[0], np.cumsum((dense > 0).sum(1))]))
+
+
+@pytest.mark.parametrize(("long", "block", "texts"), [(128, 64, 128), (20, 8, 7), (1, 4, 50), (1000, 16, 3)])
+def test_index_gives_exact_cosines(monkeypatch, long, block, texts):
+    monkeypatch.setattr(toxicity, "LONG", long)
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "TEXTS", texts)
     rng = np.random.default_rng(2)
-    dense = (rng.random((300, 40)) < 0.1) * rng.random((300, 40))
+    dense = (rng.random((300, 60)) < np.linspace(0.01, 0.4, 60)) * rng.random((300, 60))
+    dense[50:90] = dense[10]  # many ties
     dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
-    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
-    index = toxicity.Index(vectors, 40)
-    for q in dense[:60]:
-        at, s = index.nearest(np.flatnonzero(q), q[q > 0], 7)
-        all_ = np.round(dense @ q, 12)
-        want = np.lexsort((np.arange(300), -all_))[:7]
-        want = want[all_[want] > 0]
-        assert at.tolist() == want.tolist() and np.allclose(s, all_[want])
+    dense = dense.astype(np.float32)
+    queries = np.concatenate([dense[:80], np.zeros((2, 60), np.float32)])
+    near, sims = toxicity.Index(rows_of(dense), 60).nearest(rows_of(queries), 7)
+    for q, at, s in zip(queries, near, sims, strict=True):
+        every = np.round(dense.astype(float) @ q.astype(float), 12)
+        want = np.lexsort((np.arange(300), -every))[:7]
+        want = want[every[want] > 0]
+        assert at[: len(want)].tolist() == want.tolist() and np.allclose(s[: len(want)], every[want], atol=1e-12) and (at[len(want) :] == -1).all()
+
+
+def terms_by_hand(text, shapes):
+    """Of a text of plain letters, digits and marks."""
+    out, tokens = Counter(), text.split()
+    for token in tokens:
+        for w in re.findall(r"\w+", token.lower()):
+            out.update([w] + [f"^{w[:n]}" for n in L.STEMS if len(w) > n])
+        if shapes:
+            out.update([f"#{m}" for m in re.findall(r"[^\w\s]{2,}|\|", token)] + ["#capitals"] * (len(token) > 1 and token.isupper()))
+    if shapes:
+        out.update(dict(L.shape_traits(text, len(tokens), len(set(tokens)), sum(x == y for x, y in zip(tokens, tokens[1:], strict=False)))))
+    return out + Counter({f"{m}*{t}": 1 for t, n in out.items() for m in (2, 4, 8, 16) if n >= m})
+
+
+def by_hand(docs, labels, ids, shapes):
+    """Dense weights of all texts and of the examples, their labels and what each stands for."""
+    texts = dict(docs)
+    counts = {i: terms_by_hand(t or "", shapes) for i, t in texts.items()}
+    ids = sorted(ids)
+    y = np.array([labels[i] for i in ids])
+    terms = sorted(set().union(*(counts[i] for i in ids)))
+    has = np.array([[t in counts[i] for t in terms] for i in ids])
+    df = np.maximum(np.array([sum(t in c for c in counts.values()) for t in terms]), 1)
+    n, n1, x, each = len(ids), y.sum(), has[y == 1].sum(0), has.sum(0)
+    gap, wide = x * (n - n1 - (each - x)) - (each - x) * (n1 - x), each * (n - each) * n1 * (n - n1)
+    rate = np.sqrt(np.maximum(np.divide(gap.astype(float) ** 2 * n, wide, out=np.zeros(len(terms)), where=wide > 0), 0.01))
+    weight = (np.log(len(texts) / df) + 1) * rate
+    table = np.array([[(1 + math.log(counts[i][t])) if t in counts[i] else 0.0 for t in terms] for i in texts]) * weight
+    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)
+    own = dict(zip(texts, table, strict=True))
+    return ids, y, own, np.array([own[i] for i in ids])
+
+
+def vote(sims, y, k=10):
+    order = np.lexsort((np.arange(len(sims)), -sims))[:k]
+    order = order[sims[order] > 0]
+    w = sims[order] ** 4
+    return ((w * y[order]).sum() + 0.05 * y.mean()) / (w.sum() + 0.05), order
+
+
+@pytest.fixture(scope="module")
+def few(spark):
+    docs, labels = make(11, 160)
+    docs, truth = [(i, t) for i, t, _ in docs[:160]], {i: (q, x) for i, q, x in labels[:160]}
+    frame = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame([(i, *v) for i, v in truth.items()], "doc_id int, quality int, toxic int")
+    return docs, truth, *frame
+
+
+def test_toxicity_scores_by_hand(few):
+    """Every score and every neighbour, recomputed from the texts."""
+    docs, truth, frame, labels = few
+    own = [i for i in truth if zlib.crc32(str(i).encode()) % 5]
+    ids, y, vectors, table = by_hand(docs, {i: x for i, (_, x) in truth.items()}, own, False)
+    raw = [vote(np.where(np.arange(len(ids)) == k, -1, np.round(table @ v, 6)), y)[0] for k, v in enumerate(table)]
+    curve = L.platt(raw, y.astype(float), np.ones(len(y)))
+    model = toxicity.fit(frame, labels, lambda i: queries_classifiers.remainder(i, 5) != 0)
+    got = {r.doc_id: r for r in toxicity.score(frame, model).collect()}
+    for i, v in vectors.items():
+        share, order = vote(np.round(table @ v, 6), y)
+        assert got[i].score == pytest.approx(L.calibrated(share, curve), abs=2e-3)
+        assert [e.similarity for e in got[i].evidence] == pytest.approx((table @ v)[order], abs=1e-5)
+        assert {e.id for e in got[i].evidence[:9]} <= {ids[k] for k in np.flatnonzero(table @ v >= (table @ v)[order[-1]] - 1e-5)}
+
+
+def test_quality_scores_by_hand(few):
+    docs, truth, frame, labels = few
+    own = [i for i in truth if zlib.crc32(str(i).encode()) % 4 != 2]
+    ids, y, vectors, table = by_hand(docs, {i: q for i, (q, _) in truth.items()}, own, True)
+    _, _, axes = np.linalg.svd(table, full_matrices=False)
+    axes = axes[:12].T
+    low = {i: v @ axes for i, v in vectors.items()}
+    low = {i: v / max(np.linalg.norm(v), 1e-9) for i, v in low.items()}
+    block = np.array([low[i] for i in ids])
+    model = quality_classifier.fit(frame, labels, lambda i: queries_classifiers.remainder(i, 4) != 2, dimensions=12)
+    got = {r.doc_id: r.score for r in quality_classifier.score(frame, model).collect()}
+    off = [i for i, v in low.items() if abs(vote(np.round(block @ v, 5), y)[0] - got[i]) > 2e-3]
+    assert len(off) <= 1, off  # a rounded cosine at the cut may fall on the other side
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    docs = [(i, ["red dog", "blue cat"][i % 2]) for i in range(60)] + [(100, "red dog")]
+    labels = [(i, i % 2, int(i >= 20)) for i in range(60)]
+    frame, own = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(labels, "doc_id int, quality int, toxic int")
+    near = toxicity.score(frame, toxicity.fit(frame, own, lambda i: i.isNotNull())).where("doc_id = 100").first().evidence
+    assert [e.id for e in near] == list(range(0, 20, 2))
+    model = quality_classifier.fit(frame, own, lambda i: i.isNotNull())
+    assert model.score(pa.array(["red dog"]))[1].tolist() == [list(range(0, 20, 2))]
 
 
 def test_quality_on_held_out_rows(spark, tables):
@@ -79,18 +180,6 @@ def test_quality_on_held_out_rows(spark, tables):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_neighbours_are_those_of_brute_force(spark, tables):
-    docs, labels, _ = tables
-    model = quality_classifier.fit(docs, labels, lambda i: i.isNotNull(), per_class=40, n_terms=60, dimensions=8)
-    count = L.counter(L.SHAPES, model.terms)
-    counted = [count(r[1] or "") for r in docs.limit(50).collect()]
-    _, near = model.score(counted)
-    low = model._reduced(model._table(counted))
-    for row, own in zip(low @ model.vectors.T, near, strict=True):
-        if own:
-            assert np.allclose(np.sort(row[own]), np.sort(row)[-model.k :], atol=1e-5)
-
-
 def test_without_labels(spark, no_docs, tables):
     docs, labels, _ = tables
     none = labels.where("false")
@@ -103,19 +192,24 @@ def test_without_labels(spark, no_docs, tables):
 
 def test_the_sample_is_bounded_and_weighted(spark, tables):
     docs, labels, raw = tables
-    found, _ = L.examples(docs, labels, "toxic", lambda i: i.isNotNull(), L.WORDS, "doc_id", "text", 20, 50)
-    assert 40 <= len(found) <= 42  # one document has two rows
-    weight = {e.label: e.weight for e in found}
+    twice = docs.union(docs).union(docs.limit(100))  # rows of an id are one example
+    found = L.examples(twice, labels, "toxic", lambda i: i.isNotNull(), False, "doc_id", "text", 20)
+    assert len(found.ids) == len(set(found.ids)) == 40 and found.ids == sorted(found.ids)
+    weight = dict(zip(found.labels, found.weights, strict=True))
     assert weight[0] > weight[1] > 1
 
 
-def test_counter_agrees_with_reader():
-    text = "Vile vile VILE!! one|two grumbling grumbler ### a a a a"
-    for reader in (L.WORDS, L.SHAPES):
-        want = reader.terms(text)
-        terms = sorted(want)
-        got = L.Counted(reader, terms)(text)
-        assert {terms[i]: n for i, n in got.items()} == dict(want)
+def test_counts_agree_with_those_by_hand():
+    texts = ["Vile vile VILE!! one|two grumbling grumbler ### a a a a", "", None, "  x\n\nx \t", "ab " * 40, "é.É über,Über --||-- 12_a"]
+    for shapes in (False, True):
+        want = [terms_by_hand(t or "", shapes) for t in texts]
+        assert [Counter(d) for d in L.spelled(pa.array(texts), shapes)] == want
+        terms = sorted(set().union(*want))
+        got = L.Counted(terms, shapes)(pa.array(texts))
+        for i, w in enumerate(want):
+            own = slice(got.starts[i], got.starts[i + 1])
+            assert {terms[t]: n for t, n in zip(got.at[own], got.values[own], strict=True)} == w
+        assert len(L.Counted([], shapes)(pa.array(texts)).at) == 0 and len(L.Counted(terms, shapes)(pa.array([], pa.string()))) == 0
 
 
 def test_every_term_of_the_examples_counts(spark):
@@ -138,6 +232,6 @@ def test_every_term_of_the_examples_counts(spark):
 def test_axes_are_those_of_a_dense_decomposition():
     rng = np.random.default_rng(4)
     dense = (rng.random((60, 90)) < 0.2) * rng.random((60, 90))
-    axes = quality_classifier.principal_axes([(np.flatnonzero(v), v[v > 0]) for v in dense], 90, 5)
+    axes = quality_classifier.principal_axes(rows_of(dense), 90, 5)
     _, _, want = np.linalg.svd(dense, full_matrices=False)
     assert np.allclose(np.abs(axes.T @ want[:5].T), np.eye(5), atol=1e-4)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Python-side work is done on slices of an Arrow batch of at most this many bytes of text.
 SLICE_BYTES = 4 << 20
@@ -62,18 +65,62 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, text: str = "text") -> DataFrame:
     """mapInArrow with a function of one bounded slice; the column ``text`` bounds the slices."""
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, text):
                 yield fn(part)
+        relieve()
 
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, text_col: str, fn: Callable[[pa.Array], tuple[pa.Array, pa.Array]]) -> DataFrame:
+    """The rows of df with all their columns, whatever their names: ``fn`` takes the texts of a bounded
+    slice and gives the texts to put in their place and which rows stay. One Python pass for each row."""
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    at = column_index(df, text_col)
+    flat = df.toDF(*names)
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts, keep = fn(part.column(at))
+        columns = [texts if i == at else part.column(i) for i in range(part.num_columns)]
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
+
+    open_ = StructType([StructField(f.name, f.dataType) for f in flat.schema.fields])
+    return arrow_map(flat, run, open_, f"_c{at}").toDF(*df.columns)
+
+
+#: What this Python worker has built for the operator it last worked for: by slot, a key and the thing.
+_BUILT: dict[str, tuple] = {}
+
+
+def built(slot: str, key: object, make: Callable[[], object]):
+    """make(), remembered in this worker, one thing for each slot ("operator" or "operator.part"), until
+    another operator is worked for: workers outlive stages, and what a former stage has built must not
+    stay in memory beside the next one's."""
+    operator = slot.partition(".")[0]
+    if any(s.partition(".")[0] != operator for s in _BUILT):
+        _BUILT.clear()
+    if slot not in _BUILT or _BUILT[slot][0] != key:
+        _BUILT.pop(slot, None)
+        _BUILT[slot] = key, make()
+    return _BUILT[slot][1]
+
+
+def relieve() -> None:
+    """Give free memory back to the machine at the end of a partition, where the allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the shared one that the session names in spark.checkpoint.dir; one of
     this machine only where that is unset (local runs)."""
