@@ -19,15 +19,16 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidewell.llm import spans as S
-from tidewell.llm._common import bound_batches, column_index
+from tidewell.llm._common import map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: As [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+) finds them, in linear time: a match never begins within a run of
+#: digits, as it could then begin where the run does, and never ends within one.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]")
@@ -175,9 +176,10 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     """Identifiers of the rewritten text in code points of the source, by kind, then start."""
     new = rewrite(text)
     found = [(kind, new.starts[a], new.ends[b - 1]) for kind, a, b in identifiers(new.text)]
+    held = S.Cover((a, b) for _, a, b in found)
     for start, end in new.spelled:  # nine or more spelled digits are a number to call, plus sign or not
         digits = len(DIGIT_WORD.findall(text, start, end))
-        if 9 <= digits <= 15 and not any(a < end and start < b for _, a, b in found):
+        if 9 <= digits <= 15 and not held.meets(start, end):
             found.append(("phone", start, end))
     return sorted(found, key=lambda s: (KINDS.index(s[0]), s[1]))
 
@@ -187,7 +189,8 @@ def scan(texts: pa.Array) -> list[list[S.Span]]:
     for text, base, second in zip(texts.to_pylist(), S.maybe(texts, BASE_HINT), S.maybe(texts, *DISGUISE_HINTS), strict=True):
         own = [(*s, True) for s in identifiers(text)] if base else []
         if second:
-            own += [(*s, False) for s in disguised(text) if not any(a <= s[1] and s[2] <= b for _, a, b, _ in own)]
+            held = S.Cover((a, b) for _, a, b, _ in own)
+            own += [(*s, False) for s in disguised(text) if not held.holds(s[1], s[2])]
             own.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
         out.append(own)
     return out
@@ -210,13 +213,9 @@ def masked(text: str, spans: list[S.Span]) -> str:
 
 def mask(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns, with personal data in the text replaced by its kind."""
-    bound_batches(df.sparkSession)
-
-    @F.arrow_udf("string")
-    def run(texts: pa.Array) -> pa.Array:
+    def run(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         found = scan(texts)
-        return pa.array([masked(t, s) if s else t for t, s in zip(texts.to_pylist(), found, strict=True)], pa.string())
+        out = [masked(t, s) if s else t for t, s in zip(texts.to_pylist(), found, strict=True)]
+        return pa.array(out, pa.string()), pa.repeat(True, len(texts))
 
-    at = column_index(df, text_col)
-    flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    return flat.withColumn(f"_c{at}", run(f"_c{at}")).toDF(*df.columns)
+    return map_rows(df, text_col, run)

@@ -15,6 +15,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +30,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # the same runs, as a run is matched whole
-ARMOUR = re.compile(r"-----BEGIN (?P<what>[A-Z0-9 ]*PRIVATE KEY)-----(?P<body>[A-Za-z0-9+/=\s\\:,-]*?)-----END (?P=what)-----")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----")
+NOT_IN_ARMOUR = re.compile(r"[^A-Za-z0-9+/=\s\\:,-]")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 BLOB = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}|[A-Za-z0-9_-]{40,}={0,2}")
 HEX_BLOB = re.compile(r"(?:[0-9a-fA-F]{2}){20,}")
@@ -115,16 +118,37 @@ def structure(data: bytes | None) -> str | None:
     return None
 
 
+def armours(text: str) -> Iterator[tuple[str, int, int, int, int]]:
+    """(what, start, body's start, body's end, end): from each opening line to the next closing one of the
+    same words, if nothing between them is foreign to an armour. Lines are found once, so time is linear."""
+    lines = list(ARMOUR.finditer(text))
+    closing: dict[str, list[re.Match]] = {}
+    for m in lines:
+        if m[1] == "END":
+            closing.setdefault(m[2], []).append(m)
+    if not closing:
+        return
+    foreign, done = [m.start() for m in NOT_IN_ARMOUR.finditer(text)], 0
+    for m in lines:
+        of = closing.get(m[2], [])
+        if m[1] == "BEGIN" and m.start() >= done and (at := bisect_left(of, m.end(), key=re.Match.start)) < len(of):
+            end = of[at]
+            if bisect_left(foreign, m.end()) == bisect_left(foreign, end.start()):
+                yield m[2], m.start(), m.end(), end.start(), end.end()
+                done = end.end()
+
+
 def armoured(text: str) -> list[tuple[str, int, int]]:
     out = []
-    for m in ARMOUR.finditer(text):
+    for what, start, first, last, end in armours(text):
         # An encrypted key has header lines first; its body can only be checked for being base64.
-        lines = [x for x in re.split(r"\s+|\\n", m["body"]) if x]
+        inner = text[first:last]
+        lines = [x for x in re.split(r"\s+|\\n", inner) if x]
         body = "".join(x for x in lines if ":" not in x and "," not in x)
         data = decoded(body)
-        sealed = "ENCRYPTED" in m["what"] or "ENCRYPTED" in m["body"] or any(":" in x for x in lines)
+        sealed = "ENCRYPTED" in what or "ENCRYPTED" in inner or any(":" in x for x in lines)
         if data and (structure(data) in ("der", "ssh") or sealed and len(data) >= 32):
-            out.append(("pem", *m.span()))
+            out.append(("pem", start, end))
     return out
 
 
@@ -154,11 +178,9 @@ def base(text: str) -> list[tuple[str, int, int]]:
 def confirmed(text: str) -> list[tuple[str, int, int]]:
     """Candidates whose structure holds; what lies within an armoured key or a token counts as part of it."""
     out = armoured(text) + signed_tokens(text)
-    blobs = [(m, decoded(m[0])) for m in BLOB.finditer(text)]
-    blobs += [(m, bytes.fromhex(m[0])) for m in HEX_BLOB.finditer(text)]
-    for m, data in blobs:
-        if (kind := structure(data)) and not any(a < m.end() and m.start() < b for _, a, b in out):
-            out.append((kind, *m.span()))
+    for pattern, decode in ((BLOB, decoded), (HEX_BLOB, bytes.fromhex)):  # matches of one don't overlap
+        held = S.Cover((a, b) for _, a, b in out)
+        out += [(kind, *m.span()) for m in pattern.finditer(text) if (kind := structure(decode(m[0]))) and not held.meets(*m.span())]
     return out
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,23 @@ TYPE = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
 
+class Cover:
+    """Ranges, asked in the logarithm of their number whether one of them holds or meets another."""
+
+    def __init__(self, ranges: Iterable[tuple[int, int]]) -> None:
+        ordered = sorted(ranges)
+        self.starts = [a for a, _ in ordered]
+        self.far = list(accumulate((b for _, b in ordered), max))  # the last end of those so far
+
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect_right(self.starts, start)
+        return at > 0 and self.far[at - 1] >= end
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.far[at - 1] > start
+
+
 def maybe(texts: pa.Array, *patterns: str) -> list[bool]:
     """For each text whether one of the patterns (RE2) occurs; null counts as empty."""
     found = pa.array([False] * len(texts))
