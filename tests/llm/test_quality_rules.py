@@ -30,7 +30,7 @@ def prose(rng, n=40):
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
 
 
-def test_lines_above_the_limits(spark):
+def test_lines_above_the_limit(spark, monkeypatch):
     rng = random.Random(3)
     shared, alone = "  Shared LINE of a host  ", "shared line of A host"
     rows = [(i, f"{prose(rng)}\n{shared if i % 2 else alone}", "h1") for i in range(30)]
@@ -38,16 +38,28 @@ def test_lines_above_the_limits(spark):
     big = "\n".join(prose(rng, 30) for _ in range(3))
     rows += [(200 + i, f"{big}\n{prose(rng, 4)}", "h1") for i in range(30)]  # near copies
     rows += [(300 + i, "one text in full copied " + prose(random.Random(9)), "h1") for i in range(30)]
+    rows += [(500 + i, f"{prose(rng)}\nexactly twenty", "h1") for i in range(20)] + [(500, f"{prose(rng)}\nexactly twenty", "h1")]
     rows += [(400, None, "h1"), (401, "", None), (0, rows[0][1], "h1")]
     df = spark.createDataFrame(rows, "doc_id int, text string, source string")
-    got = Q.judge(df).collect()
-    by = {r.id: r for r in got}
-    assert len(got) == len(rows)
-    assert [by[i].removed_chars > 0 for i in (0, 1, 2, 29, 100)] == [False, True, True, True, False]
-    assert by[200].kept and not by[201].kept and by[201].depleted and by[300].kept and by[310].kept
-    assert by[5].kept and not by[400].kept and not by[401].kept
+    for most in (Q.BROADCAST_LINES, 0):  # broadcast, and by salted keys
+        monkeypatch.setattr(Q, "BROADCAST_LINES", most)
+        got = Q.judge(df).collect()
+        by = {r.id: r for r in got if r.id != 500}
+        assert len(got) == len(rows)
+        assert [by[i].removed_chars > 0 for i in (0, 1, 2, 29, 100, 501)] == [True, True, True, True, False, False]
+        # Of copies, each is a document, and all their lines are above the limit.
+        assert not any(by[i].kept or not by[i].depleted for i in (200, 201, 300, 310))
+        assert by[5].kept and not by[400].kept and not by[401].kept
     cleaned = {r.doc_id: r.text for r in Q.clean(df).collect()}
-    assert "hared" in cleaned[0] and "hared" not in cleaned[1] and cleaned[1] == rows[1][1].split("\n")[0] and 201 not in cleaned
+    assert "hared" not in cleaned[0] and "hared" not in cleaned[1] and cleaned[1] == rows[1][1].split("\n")[0] and 201 not in cleaned
+
+
+def test_a_hot_host_has_the_same_limit(spark):
+    """A line in less than one percent of a host's documents goes, as it would on a small host."""
+    rng = random.Random(6)
+    rows = [(i, f"{prose(rng, 25)}\n{'menu of the site' if i < 21 else prose(rng, 3)}", "hot") for i in range(3000)]
+    got = Q.judge(spark.createDataFrame(rows, "doc_id int, text string, source string"))
+    assert {r.id for r in got.where("removed_chars > 0").collect()} == set(range(21))
 
 
 def test_odd_rows(spark, odd_docs, no_docs):

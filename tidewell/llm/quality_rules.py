@@ -1,15 +1,18 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 Per-document measures come from array functions within the row, so no text is shuffled. Lines are
-normalised (white space at the ends cut, lower case), hashed and counted by distinct document text
-per host; a line in more documents of a host than the limits allow is removed from all of them but
-the one of smallest id, and a document that loses too much is rejected. Only hashes and lengths of
-lines are shuffled. The count first drops repeats of (host, line, document) and is partly summed
-before the second shuffle, so a line that all documents share is a few rows there.
+normalised (white space at the ends cut, lower case), hashed and counted by distinct document per
+host; a line in more documents of a host than the limit is removed from all of them, and a document
+that loses too much is rejected. The limit is a number, so a verdict doesn't change when unrelated
+documents join a host. Hashes and lengths of lines are written once and read from there; texts are
+split once for it. The count first drops repeats of (host, line, document) and is partly summed before
+the second shuffle, so a line that all documents share is a few rows there; common lines go to the
+tasks, or, beyond a checked number, are joined by a salted key.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined results: null and empty texts have no words and fail
 the base rules; a null host is a host of its own; a null id is an id of its own; rows repeated in
-full count as one document and each come out; copies of a text count as one document of a host.
+full count as one document and each come out; documents are told apart by id, so copies of a text
+under several ids are several documents.
 Operators find their columns by position and carry no others, but ``clean``, which carries all.
 Line and window equality is that of 64-bit hashes.
 """
@@ -19,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import column_index, pick
+from tidewell.llm._common import column_index, pick, stored
 
 #: Words of a window; base limits.
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
-#: A line is above the limits if more documents of the host have it than this number and this share.
-MAX_DOCS, MAX_SHARE = 20, 0.01
+#: A line is above the limit if more documents of the host have it than this number.
+MAX_DOCS = 20
+#: Common lines that are broadcast at most (some 30 bytes each); more are joined by SALTS keys a line.
+BROADCAST_LINES, SALTS = 500_000, 64
 #: A document is depleted if less than this share of the characters of its lines is left.
 MIN_LEFT = 0.3
 
@@ -98,23 +103,22 @@ def lines(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame
     return each.select("id", "host", "text_key", "pos", F.xxhash64(F.lower("raw")).alias("line"), F.length("raw").alias("chars"))
 
 
-def frequent(all_lines: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line, n_docs) of the lines above the limits."""
-    counted = all_lines.groupBy("host", "line").agg(F.countDistinct("text_key").alias("n_docs"))
-    common = counted.where(F.col("n_docs") > max_docs)
-    hosts = all_lines.groupBy("host").agg(F.countDistinct("text_key").alias("host_docs"))
-    common = common.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where(F.col("n_docs") > max_share * F.col("host_docs"))
-    return common.select("host", "line", "n_docs")
+def frequent(all_lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, line, n_docs) of the lines above the limit."""
+    documents = F.countDistinct(F.struct("id"))  # so that a null id counts as one
+    return all_lines.groupBy("host", "line").agg(documents.alias("n_docs")).where(F.col("n_docs") > max_docs)
 
 
 def removed(all_lines: DataFrame, common: DataFrame) -> DataFrame:
-    """The lines to remove: those above the limits, in all documents but the first of each host."""
+    """The lines to remove, those of the stored common ones, in all documents."""
     few = common.select(F.col("host").alias("h"), F.col("line").alias("l"))
-    hits = all_lines.join(few, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).drop("h", "l")
-    first = hits.groupBy("host", "line").agg(F.min("id").alias("first_id"))
-    first = first.select(F.col("host").alias("h"), F.col("line").alias("l"), "first_id")
-    hits = hits.join(first, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
-    return hits.where(~F.col("id").eqNullSafe(F.col("first_id"))).select("id", "host", "text_key", "pos", "chars").distinct()
+    same = F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))
+    if few.count() <= BROADCAST_LINES:
+        hits = all_lines.join(F.broadcast(few), same)
+    else:
+        few = few.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = all_lines.withColumn("salt", F.pmod(F.xxhash64("id", "pos"), F.lit(SALTS)).cast("int")).join(few, same & (F.col("salt") == F.col("s")))
+    return hits.select("id", "host", "text_key", "pos", "chars")
 
 
 def judge(
@@ -123,12 +127,11 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """The measures of every row with removed_chars, the line numbers to remove, and the verdict."""
-    every = lines(df, id_col, text_col, host_col)
-    gone = removed(every, frequent(every, max_docs, max_share))
+    every = stored(lines(df, id_col, text_col, host_col))
+    gone = removed(every, stored(frequent(every, max_docs))).distinct()  # rows repeated in full
     gone = gone.groupBy("id", "host", "text_key").agg(F.sum("chars").alias("removed_chars"), F.array_agg("pos").alias("removed_lines"))
     gone = gone.toDF("i", "h", "t", "removed_chars", "removed_lines")
     same = F.col("id").eqNullSafe(F.col("i")) & F.col("host").eqNullSafe(F.col("h")) & (F.col("text_key") == F.col("t"))

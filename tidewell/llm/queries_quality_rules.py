@@ -25,14 +25,9 @@ rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(
 line AS (
   SELECT doc_id, source, t, pos, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x
   FROM (SELECT doc_id, source, t, unnest(ls) AS x, unnest(range(len(ls))) AS pos FROM doc)
-), host AS (SELECT source, count(DISTINCT t) AS n FROM line GROUP BY source),
-freq AS (
-  SELECT source, lower(x) AS k, min(doc_id) AS first_id
-  FROM line JOIN host USING (source) GROUP BY source, lower(x), host.n
-  HAVING count(DISTINCT t) > 20 AND count(DISTINCT t) > 0.01 * host.n
-), gone AS (
-  SELECT doc_id, sum(length(x)) AS c FROM line JOIN freq ON line.source = freq.source AND lower(x) = k
-  WHERE doc_id <> first_id GROUP BY doc_id
+), freq AS (SELECT source, lower(x) AS k FROM line GROUP BY source, lower(x) HAVING count(DISTINCT doc_id) > 20),
+gone AS (
+  SELECT doc_id, sum(length(x)) AS c FROM line JOIN freq ON line.source = freq.source AND lower(x) = k GROUP BY doc_id
 ), total AS (SELECT doc_id, sum(length(x)) AS c FROM line GROUP BY doc_id)
 SELECT doc.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
