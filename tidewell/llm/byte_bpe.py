@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, pick
+from tidewell.llm._common import arrow_map, built, pick
 
 #: Fixed value: the split pattern of the public byte-level vocabularies. A space that follows a
 #: character other than white space always begins a new match of it.
@@ -99,6 +99,16 @@ class ByteTable:
         self.table = pa.array(table, pa.large_binary())
         self.lengths = np.array([len(x) for x in table], np.int64)
 
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids, joined; null gives null."""
+        flat = self.table.take(lists.flatten())
+        lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+        ends = np.cumsum(np.concatenate([[0], self.lengths[np.asarray(lists.flatten(), np.int64)]]))[np.cumsum(np.concatenate([[0], lengths]))]
+        data = flat.buffers()[2]
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int64)), data if data is not None else pa.py_buffer(b"")])
+        out = whole.cast(pa.binary())
+        return pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), out) if lists.null_count else out
+
 
 class Codec:
     """What a Python worker keeps of a vocabulary: the tokenizer, a bounded memory of chunks that
@@ -108,7 +118,8 @@ class Codec:
         self.tokenizer = vocabulary.tokenizer()
         self.by_chunk = vocabulary.pattern == SPACE_STARTS_MATCH
         self.memory: dict[str, bytes | None] = {}
-        self.lengths = ByteTable(vocabulary).lengths
+        self.bytes = ByteTable(vocabulary)
+        self.lengths = self.bytes.lengths
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -166,23 +177,12 @@ class Codec:
         return chunk[1:] if chunk[0] == " " else " " + chunk
 
 
-#: What this worker has built, by vocabulary; a job uses one or two.
-_BUILT: dict[tuple[type, str], Codec | ByteTable] = {}
-
-
-def _built(kind: type, vocabulary: Vocabulary):
-    at = (kind, vocabulary.key)
-    if at not in _BUILT:
-        _BUILT[at] = kind(vocabulary)
-    return _BUILT[at]
-
-
 def codec(vocabulary: Vocabulary) -> Codec:
-    return _built(Codec, vocabulary)
+    return built("byte_bpe.codec", vocabulary.key, lambda: Codec(vocabulary))
 
 
 def byte_table(vocabulary: Vocabulary) -> ByteTable:
-    return _built(ByteTable, vocabulary)
+    return built("byte_bpe.bytes", vocabulary.key, lambda: ByteTable(vocabulary))
 
 
 def id_lists(encoded: list[bytes]) -> pa.ListArray:
@@ -200,12 +200,12 @@ def character_offsets(text: str, ids: np.ndarray, lengths: np.ndarray) -> tuple[
     return char_of[starts], char_of[ends - 1] + 1
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """(id, ids array<int>) of every row, with ``offsets`` also (starts, ends) of each id in code
-    points of the text."""
+def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False, decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>) of every row; with ``offsets`` also (starts, ends) of each id in code
+    points of the text, with ``decoded`` also the bytes that the ids are decoded to in the same pass."""
     rows = pick(df, id=id_col, text=text_col)
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, ids array<int>" + ", starts array<int>, ends array<int>" * offsets
+    schema = f"id {id_type}, ids array<int>" + ", starts array<int>, ends array<int>" * offsets + ", decoded binary" * decoded
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # bounded: a vocabulary file
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -216,7 +216,9 @@ def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_c
         if offsets:
             both = [character_offsets(t, np.frombuffer(e, np.int32), own.lengths) if e else ((), ()) for t, e in zip(texts, encoded, strict=True)]
             columns += [pa.array([list(x[k]) for x in both], pa.list_(pa.int32())) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays(columns, names=["id", "ids", "starts", "ends"][: len(columns)])
+        if decoded:
+            columns.append(own.bytes.decode(columns[1]))
+        return pa.RecordBatch.from_arrays(columns, names=["id", "ids", *["starts", "ends"] * offsets, *["decoded"] * decoded])
 
     return arrow_map(rows, run, schema).withColumnRenamed("id", id_col)
 
@@ -227,14 +229,7 @@ def decode_bytes(ids: Column | str, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("binary")
     def run(lists: pa.Array) -> pa.Array:
-        own = byte_table(shared.value)
-        flat = own.table.take(lists.flatten())
-        lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-        ends = np.cumsum(np.concatenate([[0], own.lengths[np.asarray(lists.flatten(), np.int64)]]))[np.cumsum(np.concatenate([[0], lengths]))]
-        data = flat.buffers()[2]
-        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int64)), data if data is not None else pa.py_buffer(b"")])
-        out = whole.cast(pa.binary())
-        return pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), out) if lists.null_count else out
+        return byte_table(shared.value).decode(lists)
 
     return run(ids)
 

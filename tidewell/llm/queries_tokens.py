@@ -16,10 +16,7 @@ def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> byte_bpe.Vocabulary
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    vocab = vocabulary()
-    encoded = byte_bpe.encode(docs, vocab)
-    both = encoded.withColumn("decoded", byte_bpe.decode_bytes("ids", vocab))
-    return both.select(
+    return byte_bpe.encode(docs, vocabulary(), decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
