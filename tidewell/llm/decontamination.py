@@ -12,21 +12,24 @@ items of the same text all count; an item id that is null is ignored; an empty b
 documents clean. Rows are independent of each other. Extra columns are not carried by ``scan``;
 ``clean`` carries all columns as they are. Whole texts are scanned.
 
-The benchmark is a stated query set. It is cut into blocks of bounded size, and each block's
-automaton is applied in a pass of its own, so what travels to the tasks doesn't grow with it.
+The benchmark is a stated query set. It is cut into blocks of bounded size; what travels to the tasks
+is the texts of a block, and a worker builds the block's automaton and holds no other. One block takes
+one pass over the documents and no shuffle. Of more, each takes a pass of its own; hits, not texts, are
+then brought together by number of row, so the table of rows is stored once for it.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from array import array
-from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, bound_batches, column_index, pick
+from tidewell.llm._common import arrow_map, built, column_index, map_rows, pick, stored
 
 WINDOW = 10
 #: Words of one block of items; an automaton has at most twice as many states.
@@ -158,19 +161,73 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[Automaton]:
-    """The automata of the items, a block at a time; rows come to the driver one partition after another."""
-    block, size = [], 0
+def blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> list[Broadcast]:
+    """The items in blocks of bounded size. Rows come to the driver one partition after another, and
+    what it holds is one block."""
+    out, block, size = [], [], 0
     rows = pick(items, id=id_col, text=text_col).where("id is not null and text is not null")
+    share = lambda: out.append(items.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block)))
     for row in rows.toLocalIterator():
-        if sequence := words(row["text"]):
-            block.append((str(row["id"]), sequence))
-            size += len(sequence)
+        if n := len(words(row["text"])):
+            block.append((str(row["id"]), row["text"]))
+            size += n
             if size >= block_words:
-                yield Automaton(block, window)
+                share()
                 block, size = [], 0
-    if block:
-        yield Automaton(block, window)
+    if block or not out:
+        share()
+    return out
+
+
+def automaton(block: Broadcast, window: int) -> Automaton:
+    """The automaton of a block; this worker builds it once, and keeps one at a time."""
+    key, own = block.value
+    return built("decontamination", key, lambda: Automaton([(name, words(text)) for name, text in own], window))
+
+
+RANGES = "array<struct<start:int,end:int>>"
+_RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _scanned(rows: DataFrame, block: Broadcast, window: int) -> DataFrame:
+    """(id, n_words, n_hit, hits, item_ids) of rows (id, text) against one block."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = automaton(block, window)
+        n_words, n_hit, hits, ids = [], [], [], []
+        for text in batch.column(1).to_pylist():
+            sequence = words(text)
+            ranges, found = own.scan(sequence)
+            n_words.append(len(sequence))
+            n_hit.append(sum(b - a for a, b in ranges))
+            hits.append([{"start": a, "end": b} for a, b in ranges])
+            ids.append(sorted({own.names[i] for i in found}))
+        columns = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hits, _RANGES), pa.array(ids, pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "n_words", "n_hit", "hits", "item_ids"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return arrow_map(rows, run, f"id {kind}, n_words bigint, n_hit bigint, hits {RANGES}, item_ids array<string>")
+
+
+def _merged(lists: Column) -> Column:
+    @F.arrow_udf(RANGES)
+    def run(values: pa.Array) -> pa.Array:
+        both = [merged([(r["start"], r["end"]) for r in x]) for x in values.to_pylist()]
+        return pa.array([[{"start": a, "end": b} for a, b in x] for x in both], _RANGES)
+
+    return run(lists)
+
+
+def _by_row(numbered: DataFrame, parts: list[Broadcast], window: int) -> DataFrame:
+    """As _scanned, over all blocks: a pass over the rows (id, text) for each block, where a task holds
+    the automaton of its block only. Ids are numbers of rows here, and only hits are shuffled."""
+    own = [_scanned(numbered, b, window) for b in parts]
+    found = own[0]
+    for other in own[1:]:
+        found = found.union(other.where("n_hit > 0"))
+    found = found.groupBy("id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    found = found.withColumn("hits", _merged(F.col("hits")))
+    return found.withColumn("n_hit", F.aggregate("hits", F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"])))
 
 
 def scan(
@@ -185,38 +242,12 @@ def scan(
 ) -> DataFrame:
     """(id, n_words, n_hit, hits, item_ids) of every row: hits are ranges of words, end exclusive,
     and item_ids the items with occurring windows, sorted as strings."""
-    rows = pick(docs, id=id_col, text=text_col)
-    sc, kind = rows.sparkSession.sparkContext, rows.schema["id"].dataType.simpleString()
-    blocks = [sc.broadcast(a) for a in automata(items, item_id_col, item_text_col, window, block_words)]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [b.value for b in blocks]
-        n_words, n_hit, hits, ids = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            sequence = words(text)
-            ranges, names = [], set()
-            for automaton in own:
-                found, of = automaton.scan(sequence)
-                ranges += found
-                names |= {automaton.names[i] for i in of}
-            ranges = merged(ranges)
-            n_words.append(len(sequence))
-            n_hit.append(sum(b - a for a, b in ranges))
-            hits.append([{"start": a, "end": b} for a, b in ranges])
-            ids.append(sorted(names))
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(n_words, pa.int64()),
-                pa.array(n_hit, pa.int64()),
-                pa.array(hits, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                pa.array(ids, pa.list_(pa.string())),
-            ],
-            names=["id", "n_words", "n_hit", "hits", "item_ids"],
-        )
-
-    schema = f"id {kind}, n_words bigint, n_hit bigint, hits array<struct<start:int,end:int>>, item_ids array<string>"
-    return arrow_map(rows, run, schema).withColumnRenamed("id", id_col)
+    rows, parts = pick(docs, id=id_col, text=text_col), blocks(items, item_id_col, item_text_col, block_words)
+    if len(parts) == 1:
+        return _scanned(rows, parts[0], window).withColumnRenamed("id", id_col)
+    numbered = stored(rows.withColumn("row", F.monotonically_increasing_id()))
+    found = _by_row(numbered.select(F.col("row").alias("id"), "text"), parts, window).withColumnRenamed("id", "row")
+    return numbered.select("row", "id").join(found, "row").select(F.col("id").alias(id_col), "n_words", "n_hit", "hits", "item_ids")
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> str:
@@ -241,23 +272,32 @@ def clean(
 ) -> DataFrame:
     """The same rows and columns with covered spans cut out of the text; a row goes if more than
     ``max_coverage`` of its words are covered."""
-    bound_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(a) for a in automata(items, item_id_col, item_text_col, window, block_words)]
-
-    @F.arrow_udf("struct<text:string,keep:boolean>")
-    def run(texts: pa.Array) -> pa.Array:
-        out, keep = [], []
-        for text in texts.to_pylist():
-            sequence = words(text)
-            ranges = merged([r for b in blocks for r in b.value.scan(sequence)[0]])
-            out.append(without(text, ranges) if ranges else text)
-            keep.append(sum(b - a for a, b in ranges) <= max_coverage * len(sequence))
-        return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(keep)], names=["text", "keep"])
-
-    at = column_index(docs, text_col)
-    flat = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))]).withColumn("_done", run(f"_c{at}"))
-    return flat.where("_done.keep").withColumn(f"_c{at}", F.col("_done.text")).drop("_done").toDF(*docs.columns)
+    parts = blocks(items, item_id_col, item_text_col, block_words)
+    if len(parts) == 1:
+
+        def run(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+            own, out, keep = automaton(parts[0], window), [], []
+            for text in texts.to_pylist():
+                sequence = words(text)
+                ranges = own.scan(sequence)[0]
+                out.append(without(text, ranges) if ranges else text)
+                keep.append(sum(b - a for a, b in ranges) <= max_coverage * len(sequence))
+            return pa.array(out, pa.string()), pa.array(keep, pa.bool_())
+
+        return map_rows(docs, text_col, run)
+
+    names, at = [f"_c{i}" for i in range(len(docs.columns))], f"_c{column_index(docs, text_col)}"
+    numbered = stored(docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id()))
+    found = _by_row(numbered.select(F.col("_row").alias("id"), F.col(at).alias("text")), parts, window)
+    hit = found.where("n_hit > 0").select(F.col("id").alias("_row"), "hits", (F.col("n_hit") <= max_coverage * F.col("n_words")).alias("_kept"))
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, hits: pa.Array) -> pa.Array:
+        return pa.array([without(t, [(r["start"], r["end"]) for r in h]) for t, h in zip(texts.to_pylist(), hits.to_pylist(), strict=True)], pa.string())
+
+    whole = numbered.join(hit.select("_row"), "_row", "left_anti").select(*names)
+    shorter = numbered.join(hit.where("_kept"), "_row").withColumn(at, cut(at, "hits")).select(*names)
+    return whole.union(shorter).toDF(*docs.columns)
 
 
 def item_list(item_ids: Column | str) -> Column:
