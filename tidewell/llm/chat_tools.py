@@ -1,14 +1,16 @@
 """Tool-call linking in DataFrame functions only.
 
-Calls and results are joined by (conversation, identifier); calls are put in topological order by
+Calls and results are joined by (conversation, identifier), a hash join of shuffled sides; calls are put in topological order by
 joins, so no conversation is ever gathered in one task; arguments are
 checked against the tools' schemas; each linked call becomes one line of canonical JSON: sorted
-keys, no spaces, numbers in one form.
+keys, no spaces, and one form for 1, 1.0 and 1e0 (written with an exponent, numbers from ten million
+on keep one).
 
 Defined results: of several calls with one identifier in a conversation the first turn counts (then
 the smaller JSON), of several results the first after the call; results that fit no call come out as
 orphans, and calls without a result as unanswered. Null conversations or identifiers are no calls
-and no results. A null or broken argument text is the error "arguments". Calls in or behind a cycle
+and no results. A null or broken argument text is the error "arguments", one that repeats a key of an
+object the error "repeated"; both have null arguments in the JSON. Calls in or behind a cycle
 of dependencies have a null wave. Empty tables give empty results. Only named columns are read.
 """
 
@@ -27,7 +29,7 @@ MESSAGE = "tool_calls array<struct<id:string,name:string,arguments:variant,depen
 
 def tool_messages(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Calls and results of messages whose text is a JSON object with ``tool_calls`` or ``tool_call_id``."""
-    rows = pick(df, conv_id=conv_col, turn=turn_col, text=text_col).where("text like '{%'")
+    rows = pick(df, conv_id=conv_col, turn=turn_col, text=text_col).where(F.col("text").rlike(r"^[ \t\r\n]*\{"))
     rows = rows.withColumn("m", F.from_json("text", MESSAGE)).where("m is not null")
     calls = rows.select("conv_id", "turn", F.explode("m.tool_calls").alias("c"))
     calls = calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "c.name", F.to_json("c.arguments").alias("arguments"), "c.depends_on")
@@ -37,19 +39,32 @@ def tool_messages(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
 
 def turns_as_calls(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Plain chats in the same form: a system turn is a call of ``set_context`` and any other turn
-    but the assistant's one of ``respond``; the assistant's turn is the result of the one before. A
-    call depends on those of the two turns before it, where there are such."""
+    but the assistant's one of ``respond``; the assistant's turn is the result of the one before. Chats
+    have no dependencies and no faults of their own, so the length of the text gives them: by its
+    remainder of 4 a call needs the one two turns before, none, the one two turns later, or the ones two
+    before and four later; by that of 12 its arguments are broken, incomplete, of a wrong type, too many,
+    repeated, or written with an exponent. Other remainders, and null texts, are sound."""
     rows = pick(df, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
-    of = lambda n: F.concat(F.lit("c"), (F.col("turn") - n).cast("string"))
-    asked = rows.where("role is null or role <> 'assistant'").select(
-        "conv_id",
-        of(0).alias("call_id"),
-        "turn",
-        F.when(F.col("role") == "system", "set_context").otherwise("respond").alias("name"),
-        F.to_json(F.struct(F.col("text").alias("prompt"), "turn"), {"ignoreNullFields": "false"}).alias("arguments"),
-        F.array(of(1), of(2)).alias("depends_on"),
+    of = lambda n: F.concat(F.lit("c"), (F.col("turn") + n).cast("string"))
+    json = lambda *fields: F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    prompt, size = F.col("text").alias("prompt"), F.coalesce(F.length("text"), F.lit(11))
+    sound = json(prompt, "turn")
+    faulty = (
+        F.lit('{"prompt":'),
+        json("turn"),
+        json(prompt, F.col("turn").cast("string").alias("turn")),
+        json(size.alias("n"), prompt, "turn"),
+        F.concat(F.lit('{"turn":0,'), F.substring(sound, 2, 1 << 30)),
+        F.concat(F.regexp_replace(sound, r"\}$", ""), F.lit("e0}")),
     )
-    answers = rows.where("role = 'assistant'").select("conv_id", of(1).alias("call_id"), "turn", F.col("text").alias("content"))
+    arguments, depends = sound, F.array().cast("array<string>")
+    for k, text in enumerate(faulty):
+        arguments = F.when(size % 12 == k, text).otherwise(arguments)
+    for k, names in enumerate((F.array(of(-2)), None, F.array(of(2)), F.array(of(-2), of(4)))):
+        depends = depends if names is None else F.when(size % 4 == k, names).otherwise(depends)
+    name = F.when(F.col("role") == "system", "set_context").otherwise("respond").alias("name")
+    asked = rows.where("role is null or role <> 'assistant'").select("conv_id", of(0).alias("call_id"), "turn", name, arguments.alias("arguments"), depends.alias("depends_on"))
+    answers = rows.where("role = 'assistant'").select("conv_id", of(-1).alias("call_id"), "turn", F.col("text").alias("content"))
     return asked, answers
 
 
@@ -57,7 +72,13 @@ def turns_as_calls(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
 TURN_SCHEMAS = {name: [("prompt", "string", True), ("turn", "integer", True)] for name in ("respond", "set_context")}
 
 
-def errors(name: Column, fields: Column, schemas: dict[str, list[tuple[str, str, bool]]]) -> Column:
+def canonical(value: Column) -> Column:
+    """The text of a variant, whose keys are sorted, with whole numbers in one form: ".0" goes where it
+    stands outside of strings."""
+    return F.regexp_replace(F.to_json(value), r'("(?:[^"\\]++|\\.)*+")|(-?[0-9]+)\.0(?![0-9E])', "$1$2")
+
+
+def errors(name: Column, fields: Column, repeated: Column, schemas: dict[str, list[tuple[str, str, bool]]]) -> Column:
     """What is wrong with the arguments (a map of variants): sorted short messages. The schemas are
     a stated list and become part of the expression."""
     if not schemas:
@@ -74,7 +95,7 @@ def errors(name: Column, fields: Column, schemas: dict[str, list[tuple[str, str,
     rules = F.try_element_at(known, name)
     extra = F.transform(F.array_except(F.map_keys(fields), F.transform(rules, lambda r: r["field"])), lambda f: F.concat(F.lit("unexpected:"), f))
     found = F.concat(F.filter(F.transform(rules, check), lambda e: e.isNotNull()), extra)
-    return F.when(rules.isNull(), F.array(F.lit("tool"))).when(fields.isNull(), F.array(F.lit("arguments"))).otherwise(F.array_sort(found))
+    return F.when(rules.isNull(), F.array(F.lit("tool"))).when(repeated, F.array(F.lit("repeated"))).when(fields.isNull(), F.array(F.lit("arguments"))).otherwise(F.array_sort(found))
 
 
 def _kahn(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -126,19 +147,18 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tuple[str
     first = stored(first)
     results = results.where("conv_id is not null and call_id is not null")
     begun = first.select(*key, F.col("turn").alias("begun"))
-    later = results.join(begun, key, "left").where("begun is null or turn is null or turn >= begun")
+    met = results.join(begun.hint("shuffle_hash"), key, "left")
+    later = met.where("begun is null or turn is null or turn >= begun")
     answer = later.where("begun is not null").groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r")).select(*key, F.lit(True).alias("answered"), "r.content")
-    orphans = results.join(begun, key, "left").where("begun is null or turn < begun")
-
-    linked = first.join(waves(first), key, "left").join(answer, key, "left")
-    linked = linked.withColumn("fields", F.from_json("arguments", "map<string,variant>", {"mode": "PERMISSIVE"}))
-    linked = linked.withColumns(
-        {
-            "errors": errors(F.col("name"), F.col("fields"), schemas),
-            "status": F.when(F.col("answered"), "linked").otherwise("unanswered"),
-            "args": F.try_parse_json("arguments"),  # keys of a variant are sorted, numbers have one form
-        }
-    )
+    orphans = met.where("begun is null or turn < begun")
+
+    linked = first.join(waves(first).hint("shuffle_hash"), key, "left").join(answer.hint("shuffle_hash"), key, "left")
+    # No variant has a key twice, and a text with keys that is none repeats one.
+    linked = linked.withColumn("args", F.try_parse_json("arguments"))
+    linked = linked.withColumn("repeated", F.col("args").isNull() & F.json_object_keys("arguments").isNotNull())
+    linked = linked.withColumn("args", F.try_parse_json(canonical(F.col("args"))))
+    linked = linked.withColumn("fields", F.when(~F.col("repeated"), F.try_variant_get("args", "$", "map<string,variant>")))
+    linked = linked.withColumns({"errors": errors(F.col("name"), F.col("fields"), F.col("repeated"), schemas), "status": F.when(F.col("answered"), "linked").otherwise("unanswered")})
     body = F.struct(F.col("args").alias("arguments"), "call_id", "errors", "name", F.col("content").alias("result"), "status", "turn", "wave")
     linked = linked.withColumn("json", F.to_json(body, {"ignoreNullFields": "false"}))
     lost = orphans.select(
