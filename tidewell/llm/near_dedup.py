@@ -30,6 +30,7 @@ and text columns are read, so others can't clash.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, column_index, pick, stored
+from tidewell.llm._common import arrow_map, bound_batches, column_index, pick, relieve, stored
 from tidewell.llm.components import components
 
 #: Values of a sketch, and those in the first lists.
@@ -48,32 +49,22 @@ CHANCE = 1e-7
 LIST = 64
 #: Classes of a block when the rest of a long list is compared.
 BLOCK = 256
+#: Partners of a node that are compared with it in one place.
+SLICE = 256
 #: Ids that are broadcast at most (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Deviations that an estimate may be below the threshold.
 DEVIATIONS = 7
-#: Words whose hashes a worker remembers; beyond it the memory starts anew.
-WORD_MEMORY = 50_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
-_memory: dict[bytes, int] = {}
-
-
-def _hash(word: bytes) -> int:
-    value = _memory[word] = xxhash.xxh3_64_intdigest(word)
-    return value
-
-
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text."""
     words = text.encode().translate(_LOWER).split() if text else []
     if not words:
         return np.empty(0, np.int64)
-    if len(_memory) > WORD_MEMORY:
-        _memory.clear()
-    get = _memory.get
-    each = np.fromiter((get(w) or _hash(w) for w in words), np.uint64, len(words))
+    digest = xxhash.xxh3_64_intdigest
+    each = np.fromiter(map(digest, words), np.uint64, len(words))
     span = min(size, len(words))
     n = len(words) - span + 1
     mixed = np.full(n, span, np.uint64)
@@ -107,21 +98,72 @@ def sketches(rows: DataFrame, size: int) -> DataFrame:
     return arrow_map(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n bigint, key binary, sketch array<bigint>")
 
 
-def full_sets(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(rep, values): the whole sets of some documents, one row for each."""
-    ids = ids.select(F.col("rep").alias("r"), F.col("key").alias("k"))
+def full_sets(rows: DataFrame, ids: DataFrame, size: int, unique: bool) -> DataFrame:
+    """(node, vals): the whole sets of the classes (node, key), one row for each. Unique: no id has
+    several rows."""
+    ids = ids.select(F.col("node").alias("r"), F.col("key").alias("k"))
     small = ids.count() <= BROADCAST_IDS
     some = rows.join(F.broadcast(ids) if small else ids, F.col("id") == F.col("r"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
         # An id may have several texts; the one of the class counts.
-        fits = [xxhash.xxh3_128_digest(s.tobytes()) == k for s, k in zip(sets, batch.column(3).to_pylist(), strict=True)]
+        fits = [xxhash.xxh3_128_digest(s.tobytes()) == k for s, k in zip(sets, batch.column(2).to_pylist(), strict=True)]
         own = batch.filter(pa.array(fits, pa.bool_()))
-        return pa.RecordBatch.from_arrays([own.column(0), own.column(3), _lists([s for s, f in zip(sets, fits, strict=True) if f])], names=["rep", "key", "vals"])
-
-    schema = f"rep {rows.schema['id'].dataType.simpleString()}, key binary, vals array<bigint>"
-    return arrow_map(some.select("id", "text", "r", "k"), run, schema).dropDuplicates(["rep", "key"])
+        return pa.RecordBatch.from_arrays([own.column(0), own.column(2), _lists([s for s, f in zip(sets, fits, strict=True) if f])], names=["node", "key", "vals"])
+
+    schema = f"node {rows.schema['id'].dataType.simpleString()}, key binary, vals array<bigint>"
+    sets = arrow_map(some.select("id", "text", "k"), run, schema)
+    return (sets if unique else sets.dropDuplicates(["node", "key"])).select("node", "vals")
+
+
+def _if_small(df: DataFrame) -> DataFrame:
+    """A stored table of ids, broadcast where its counted size allows it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def compared(pairs: DataFrame, data: DataFrame, judge: Callable[[np.ndarray, np.ndarray], tuple], result: str) -> DataFrame:
+    """(a, b, *result) of stored pairs: judge(data of one node, data of the other). A node of many pairs
+    is sent once for each SLICE of its partners, not once for each, and no task gets all of them: the
+    partners follow it in the sorted rows of their slice, so a task holds the data of two nodes."""
+    big = [_if_small(stored(pairs.groupBy(F.col(x).alias(f"_{x}")).agg(F.count("*").alias(f"_n{x}")).where(F.col(f"_n{x}") > SLICE))) for x in ("a", "b")]
+    n = pairs.join(big[0], F.col("a") == F.col("_a"), "left").join(big[1], F.col("b") == F.col("_b"), "left").fillna(0, ["_na", "_nb"])
+    turn = F.col("_nb") > F.col("_na")
+    slices_ = F.greatest(F.ceil(F.greatest("_na", "_nb") / SLICE), F.lit(1))
+    n = n.select(F.when(turn, F.col("b")).otherwise(F.col("a")).alias("hub"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("other"), slices_.alias("_s"))
+    n = n.select("hub", "other", F.pmod(F.xxhash64("other"), F.col("_s")).alias("piece"))
+    values = data.toDF("_node", "vals")
+    hubs = n.select("hub", "piece").distinct().join(values, F.col("hub") == F.col("_node")).select("hub", "piece", F.lit(None).cast(n.schema["other"].dataType).alias("other"), "vals")
+    others = n.join(values, F.col("other") == F.col("_node")).select("hub", "piece", "other", "vals")
+    rows = hubs.union(others).repartition("hub", "piece").sortWithinPartitions("hub", "piece", F.col("other").asc_nulls_first())
+    names = [x.split()[0] for x in result.split(", ")]
+    types = [{"double": pa.float64(), "boolean": pa.bool_()}[x.split()[1]] for x in result.split(", ")]
+    bound_batches(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, []
+        for batch in batches:
+            where, out = [], []
+            vals = batch.column(3)
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).is_null().to_pylist(), strict=True)
+            for i, (hub, piece, first) in enumerate(keys):
+                now = vals[i].values.to_numpy()
+                if first:
+                    if at != (hub, piece):
+                        at, own = (hub, piece), []
+                    own.append(now.copy())
+                else:
+                    for x in own:
+                        where.append(i)
+                        out.append(judge(x, now))
+            ids = batch.take(pa.array(where, pa.int64())).select([0, 2])
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*ids.columns, *columns], names=["x", "y", *names])
+        relieve()
+
+    kind = n.schema["hub"].dataType.simpleString()
+    done = rows.mapInArrow(run, f"x {kind}, y {kind}, {result}")
+    return done.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *names)
 
 
 def least_shared(values: int, percent: int) -> int:
@@ -163,42 +205,24 @@ def union_estimate(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
 
 
 def estimates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, est, exact) of pairs of nodes."""
-    x = reps.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    y = reps.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
-
-    @F.arrow_udf("struct<est:double,exact:boolean>")
-    def run(xs: pa.Array, ys: pa.Array) -> pa.Array:
-        both = [union_estimate(p.values.to_numpy(), q.values.to_numpy()) for p, q in zip(xs, ys, strict=True)]
-        return pa.StructArray.from_arrays([pa.array([e for e, _ in both], pa.float64()), pa.array([s for _, s in both], pa.bool_())], names=["est", "exact"])
-
-    return pairs.join(x, "a").join(y, "b").select("a", "b", run("x", "y").alias("e")).select("a", "b", "e.est", "e.exact")
+    """(a, b, est, exact) of stored pairs of nodes."""
+    return compared(pairs, reps.select("node", "sketch"), union_estimate, "est double, exact boolean")
 
 
 def enough(common: int, a: int, b: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common) > 0
 
 
-def verified(rows: DataFrame, estimated: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(rows: DataFrame, estimated: DataFrame, reps: DataFrame, size: int, percent: int, unique: bool) -> DataFrame:
     """The pairs whose full sets reach the threshold. Estimated: stored (a, b, est, exact)."""
     threshold = percent / 100
     margin = DEVIATIONS * math.sqrt(threshold * (1 - threshold) / K)
     sure = estimated.where(F.col("exact") & (F.round(F.col("est"), 12) >= threshold)).select("a", "b")
-    open_ = stored(estimated.where(~F.col("exact") & (F.col("est") >= threshold - margin)).select("a", "b"))
-    ids = stored(open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct().join(reps, "node").select("node", "rep", "key"))
-    sets = full_sets(rows, ids, size).join(ids.select("node", F.col("key").alias("k"), F.col("rep").alias("r")), (F.col("key") == F.col("k")) & (F.col("rep") == F.col("r")))
-    sets = sets.select("node", "vals")
-
-    @F.arrow_udf("boolean")
-    def linked(xs: pa.Array, ys: pa.Array) -> pa.Array:
-        out = []
-        for p, q in zip(xs, ys, strict=True):
-            x, y = p.values.to_numpy(), q.values.to_numpy()
-            out.append(enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
-        return pa.array(out, pa.bool_())
-
-    both = open_.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return sure.union(both.where(linked("x", "y")).select("a", "b"))
+    open_ = stored(estimated.where(~F.col("exact") & (F.col("est") >= threshold - margin)).select("a", "b").distinct())
+    ids = stored(open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct().join(reps, "node").select("node", "key"))
+    linked = lambda x, y: (enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent),)
+    both = compared(open_, full_sets(rows, ids, size, unique), linked, "linked boolean")
+    return sure.union(both.where("linked").select("a", "b"))
 
 
 def _prefix(n: Column, percent: int) -> Column:
@@ -257,7 +281,7 @@ def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int)
     return m.groupBy("g", "lo", "hi").applyInPandas(run, f"a {kind}, b {kind}")
 
 
-def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+def links(rows: DataFrame, reps: DataFrame, size: int, percent: int, unique: bool) -> DataFrame:
     """(a, b) between classes: every similar pair, or at least a path of similar pairs."""
     threshold = percent / 100
     first = reps.select("node", "n", F.explode(F.slice("sketch", 1, FEW)).alias("v"))
@@ -281,8 +305,8 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     centred = to_centre.where(_close(F.col("n"), F.col("cn"), 2 * percent - 100)).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
 
     candidates = by_overlap.select("a", "b").union(by_rare).union(by_list).union(centred).distinct()
-    estimated = stored(estimates(candidates, reps))
-    found = stored(verified(rows, estimated, reps, size, percent))
+    estimated = stored(estimates(stored(candidates), reps))
+    found = stored(verified(rows, estimated, reps, size, percent, unique))
 
     # What is left of the long lists: members that are not linked to their centre. A class and its
     # centre meet in many lists, so their state is looked up once.
@@ -297,7 +321,7 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     if rest.isEmpty():
         return found
     more = _pairs_of_lists(rest.where(F.col("c") <= LIST).select("v", "band", "node", "n"), ["v", "band"], percent).distinct()
-    more = verified(rows, stored(estimates(more.join(estimated, ["a", "b"], "left_anti"), reps)), reps, size, percent)
+    more = verified(rows, stored(estimates(stored(more.join(estimated, ["a", "b"], "left_anti")), reps)), reps, size, percent, unique)
     found = stored(found.union(more))
 
     # Near the centre but not linked to it: against all that are linked to it, and each other.
@@ -309,8 +333,8 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     groups = stored(groups)
     if groups.where("first").isEmpty():
         return found
-    ids = stored(groups.select("node").distinct().join(reps, "node").select("node", "rep", "key"))
-    sets = full_sets(rows, ids, size).withColumnRenamed("rep", "r").join(ids.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("r") == F.col("rep"))).select("node", "vals")
+    ids = stored(groups.select("node").distinct().join(reps, "node").select("node", "key"))
+    sets = full_sets(rows, ids, size, unique)
     return stored(found.union(_blocks(groups, found, sets, percent)))
 
 
@@ -328,7 +352,8 @@ def _judged(df: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     own = stored(sketches(rows, size))
     classes = own.where("id is not null and n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.min_by("n", "id").alias("n"), F.min_by("sketch", "id").alias("sketch"))
     reps = stored(classes.withColumn("node", F.col("rep")))
-    found = links(rows.where("id is not null"), reps, size, percent)
+    unique = own.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
+    found = links(rows.where("id is not null"), reps, size, percent, unique)
     roots = components(found).select(F.col("node").alias("x"), "root")
     of = reps.select("key", "rep", "node").join(roots, F.col("node") == F.col("x"), "left").select("key", F.coalesce("root", "rep").alias("root"))
     single = F.col("id").isNull() | (F.col("n") == 0)
