@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -19,6 +20,10 @@ def reference(vocab):
     return tiktoken.Encoding("reference", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab.ranks, special_tokens={})
 
 
+def ids_of(own, text):
+    return own.encode(pa.array([text])).to_pylist()[0]
+
+
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a \n b", "x\n \ny", "x\n", "\n x", "x \n", "x\n\n  y", "I'm here's 'tis it's", "\t\tq\r\n\r\n z", "é　x ñ \xa0y", "日本語 テスト 👩‍👩‍👧 ok",
     "x\x1c y\x85 z", "aaaa aaaaaaaaaaaaaaaa", "= == === ==== ===== ======", "\x00\x01", " " * 50 + "a", "١٢٣ ²³ ½ Ⅷ", "<|endoftext|> x", "é ́", "a" * 3000,
@@ -29,29 +34,32 @@ def test_ids_are_those_of_the_rank_encoder(vocab, reference):
     rng = random.Random(5)
     alphabet = "ab cé\n 'st1½日👍\t-=  "
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
-    got = byte_bpe.codec(vocab).encode(texts)
-    for text, ids in zip(texts, got, strict=True):
-        assert np.frombuffer(ids, np.int32).tolist() == reference.encode_ordinary(text), repr(text)
+    own = byte_bpe.Codec(vocab)
+    for part in (texts, texts[:40], texts[7:9]):  # slices of a batch, too, and pieces that are remembered
+        got = own.encode(pa.array([None, *part, None]).slice(1, len(part))).to_pylist()
+        for text, ids in zip(part, got, strict=True):
+            assert ids == reference.encode_ordinary(text), repr(text)
+    assert own.encode(pa.array([None, ""], pa.string())).to_pylist() == [[], []] and len(own.encode(pa.array([], pa.string()))) == 0
 
 
 def test_memory_may_overflow(vocab, reference, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CHUNK_MEMORY", 3)
     own = byte_bpe.Codec(vocab)
     for text in ("a b c d e", "f g h i", "a b c"):
-        assert np.frombuffer(own.encode([text])[0], np.int32).tolist() == reference.encode_ordinary(text)
+        assert ids_of(own, text * 2) == reference.encode_ordinary(text * 2)
 
 
 def test_another_pattern_takes_whole_texts(vocab):
     own = byte_bpe.Vocabulary(vocab.ranks, r"[a-z]+|\s|[^a-z\s]+")
     ref = tiktoken.Encoding("r", pat_str=own.pattern, mergeable_ranks=own.ranks, special_tokens={})
-    got = np.frombuffer(byte_bpe.codec(own).encode(["ab cd  12 ef"])[0], np.int32).tolist()
+    got = ids_of(byte_bpe.codec(own), "ab cd  12 ef")
     assert got == ref.encode_ordinary("ab cd  12 ef")
 
 
 def test_offsets_cover_the_text(vocab):
     own = byte_bpe.codec(vocab)
     for text in ODD:
-        ids = np.frombuffer(own.encode([text])[0], np.int32)
+        ids = np.array(ids_of(own, text), np.int32)
         if len(ids):
             starts, ends = byte_bpe.character_offsets(text, ids, own.lengths)
             assert starts[0] == 0 and ends[-1] == len(text) and (starts[1:] <= ends[:-1]).all() and (starts < ends).all()
@@ -66,7 +74,7 @@ def test_round_trip_and_split_characters(spark, vocab):
     out = df.withColumn("raw", byte_bpe.decode_bytes("ids", vocab)).withColumn("back", byte_bpe.decode_text("ids", vocab)).collect()
     for r in out:
         assert bytes(r.raw).decode() == r.back == ODD[r.doc_id] and len(r.ids) == len(r.starts) == len(r.ends)
-    ids = np.frombuffer(byte_bpe.codec(vocab).encode(["👩‍👩‍👧é"])[0], np.int32).tolist()
+    ids = ids_of(byte_bpe.codec(vocab), "👩‍👩‍👧é")
     assert "".join(byte_bpe.decode_pieces([[i] for i in ids], vocab)) == "👩‍👩‍👧é"
     assert "�" in "".join(byte_bpe.decode_pieces([ids[:1]], vocab))
 

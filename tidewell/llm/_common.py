@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructField, StructType
 #: Python-side work is done on slices of an Arrow batch of at most this many bytes of text.
 SLICE_BYTES = 4 << 20
 #: Size of the Arrow batches between Spark and its Python workers, where the session sets none.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,12 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
+def spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ranges that begin at first and have n numbers, one range after the other."""
+    n = n.astype(np.int64)
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, as each is held several times: by Spark on its way out and in, by the
     Python worker, and as Python objects there. A single large row is a batch of its own."""

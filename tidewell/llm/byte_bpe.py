@@ -24,16 +24,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, built, pick
+from tidewell.llm._common import arrow_map, built, pick, relieve, spread
 
 #: Fixed value: the split pattern of the public byte-level vocabularies. A space that follows a
 #: character other than white space always begins a new match of it.
 SPACE_STARTS_MATCH = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Entries of a worker's memory of encoded chunks; beyond it the memory starts anew.
-CHUNK_MEMORY = 250_000
+#: Entries of a worker's memory of encoded pieces; beyond it the memory starts anew.
+CHUNK_MEMORY = 100_000
 
-#: Chunks that are encoded in one call.
+#: Pieces that are encoded in one call.
 JOINED = 4096
 
 
@@ -117,64 +117,78 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.tokenizer = vocabulary.tokenizer()
         self.by_chunk = vocabulary.pattern == SPACE_STARTS_MATCH
-        self.memory: dict[str, bytes | None] = {}
+        self.memory: dict[str, bytes] = {}
         self.bytes = ByteTable(vocabulary)
         self.lengths = self.bytes.lengths
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of 32-bit integers."""
-        if not self.by_chunk:
-            return self._encode(texts)
-        if len(self.memory) > CHUNK_MEMORY:
-            self.memory.clear()
-        memory, split, whole = self.memory, [(" " + t).split(" ") if t else [] for t in texts], []
-        # A chunk is what follows a space, up to the next one. The first has no space before it: it is
-        # kept under a key that no chunk can have, as it holds a space.
-        for chunks in split:
-            if chunks:
-                chunks[:2] = [" " + chunks[1]]
-        new = list({c for chunks in split for c in chunks if c not in memory})
-        # After an empty chunk or white space, a space need not begin a match: such texts go as a whole.
-        fit = [c for c in new if c.strip(" ") and not c[-1].isspace()]
-        memory.update(dict.fromkeys(new))
-        for part in range(0, len(fit), JOINED):
-            memory.update(self._encode_joined(fit[part : part + JOINED]))
-        out: list[bytes] = []
-        for text, chunks in zip(texts, split, strict=True):
-            parts = [memory[c] for c in chunks]
-            if None in parts:
-                # White space at the end of a text is as good as any other chunk: nothing follows it.
-                if None not in parts[:-1] and chunks[-1].strip(" "):
-                    parts[-1] = self._encode([self._text_of(chunks[-1])])[0]
-                else:
-                    whole.append(len(out))
-                    parts = []
-            out.append(b"".join(parts))
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
-
-    def _encode_joined(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Chunks that follow a space are encoded as one text, which saves a call for each, and cut
-        apart again where the bytes of the chunks end; no token reaches over such a place."""
-        firsts = [c for c in chunks if c[0] == " "]
-        yield from zip(firsts, self._encode([c[1:] for c in firsts]), strict=True)
-        rest = [c for c in chunks if c[0] != " "]
-        if rest:
-            ids = np.frombuffer(self._encode([" " + " ".join(rest)])[0], np.int32)
-            sizes = np.fromiter((len(c.encode()) + 1 for c in rest), np.int64, len(rest))
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1
-            start = 0
-            for chunk, cut in zip(rest, cuts.tolist(), strict=True):
-                yield chunk, ids[start:cut].tobytes()
-                start = cut
-
-    @staticmethod
-    def _text_of(chunk: str) -> str:
-        return chunk[1:] if chunk[0] == " " else " " + chunk
+        relieve()  # the merges are a large list
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text; null counts as empty. A text is cut at its spaces, as each begins a new
+        match of the pattern; each distinct piece is encoded once, and lists are put together from numbers."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_chunk or not len(texts):
+            return id_lists(self._encode(texts.to_pylist()))
+        split = pc.split_pattern(texts, " ")
+        starts = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        chunks, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row, first, last = np.repeat(np.arange(len(texts)), np.diff(starts)), starts[:-1], starts[1:] - 1
+        # After an empty piece or white space, a space need not begin a match: such texts go as a whole. But
+        # white space at the end of a text is as good as any other piece, as nothing follows it.
+        bad = np.fromiter((not c or c[-1].isspace() for c in chunks), bool, len(chunks))[code]
+        n_bad, empty = np.add.reduceat(bad, first, dtype=np.int64), np.fromiter((not c for c in chunks), bool, len(chunks))
+        tail = bad[last] & (n_bad == 1) & (last > first) & ~empty[code[last]]
+        whole = (n_bad > 0) & ~tail
+        plain = ~bad & ~whole[row]
+        plain[first] = False
+        pool, start, size = self._pieces(chunks, code[plain])
+        at, n = start[code], size[code]
+        n[~plain] = 0
+        # The first piece of a text has no space before it; it also stands for a text that goes as a whole.
+        rows = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole), np.flatnonzero(tail)])
+        places = np.concatenate([first[~whole], first[whole], last[tail]])
+        single = [chunks[c] for c in code[first[~whole]]] + texts.filter(pa.array(whole)).to_pylist() + [" " + chunks[c] for c in code[last[tail]]]
+        if len(rows):
+            ids = self._encode(single)
+            n[places] = np.fromiter(map(len, ids), np.int64, len(ids))
+            at[places] = len(pool) + np.cumsum(n[places]) - n[places]
+            pool = np.concatenate([pool, *ids])
+        values = pool[spread(at, n)[0]]
+        ends = np.concatenate([[0], np.cumsum(np.add.reduceat(n, first))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+
+    def _pieces(self, chunks: list[str], code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces that are used, one after the other, and where those of each begin and how many
+        they are. Pieces that a slice has twice are likely in the next one, too, and are remembered."""
+        often = np.bincount(code, minlength=len(chunks))
+        used, memory = np.flatnonzero(often), self.memory
+        new = [c for c in used.tolist() if chunks[c] not in memory]
+        parts = [(c, memory[chunks[c]]) for c in used.tolist() if chunks[c] in memory]
+        if len(memory) > CHUNK_MEMORY:
+            memory.clear()
+        for part in range(0, len(new), JOINED):
+            some = new[part : part + JOINED]
+            parts += zip(some, self._encode_joined([chunks[c] for c in some]), strict=True)
+        memory.update((chunks[c], ids) for c, ids in parts if often[c] > 1)
+        start, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        order = np.fromiter((c for c, _ in parts), np.int64, len(parts))
+        size[order] = np.fromiter((len(ids) // 4 for _, ids in parts), np.int64, len(parts))
+        start[order] = np.cumsum(size[order]) - size[order]
+        return np.frombuffer(b"".join(ids for _, ids in parts), np.int32), start, size
+
+    def _encode_joined(self, chunks: list[str]) -> Iterator[bytes]:
+        """Pieces that follow a space are encoded as one text, which saves a call for each, and cut
+        apart again where the bytes of the pieces end; no token reaches over such a place."""
+        ids = self._encode([" " + " ".join(chunks)])[0]
+        sizes = np.fromiter((len(c.encode()) + 1 for c in chunks), np.int64, len(chunks))
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1
+        start = 0
+        for cut in cuts.tolist():
+            yield ids[start:cut].tobytes()
+            start = cut
 
 
 def codec(vocabulary: Vocabulary) -> Codec:
@@ -185,9 +199,9 @@ def byte_table(vocabulary: Vocabulary) -> ByteTable:
     return built("byte_bpe.bytes", vocabulary.key, lambda: ByteTable(vocabulary))
 
 
-def id_lists(encoded: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, encoded)], dtype=np.int64) // 4
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+def id_lists(encoded: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, encoded)], dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *encoded]), pa.int32()))
 
 
 def character_offsets(text: str, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,11 +224,10 @@ def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_c
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(shared.value)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        encoded = own.encode(texts)
-        columns = [batch.column(0), id_lists(encoded)]
+        columns = [batch.column(0), own.encode(batch.column(1))]
         if offsets:
-            both = [character_offsets(t, np.frombuffer(e, np.int32), own.lengths) if e else ((), ()) for t, e in zip(texts, encoded, strict=True)]
+            ids = [x.values.to_numpy() for x in columns[1]]
+            both = [character_offsets(t, i, own.lengths) if len(i) else ((), ()) for t, i in zip(batch.column(1).to_pylist(), ids, strict=True)]
             columns += [pa.array([list(x[k]) for x in both], pa.list_(pa.int32())) for k in (0, 1)]
         if decoded:
             columns.append(own.bytes.decode(columns[1]))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import arrow_map, bound_batches, built, pick, relieve, slices, stored
+from tidewell.llm._common import arrow_map, bound_batches, built, pick, relieve, slices, spread, stored
 
 #: Examples of each label.
 PER_CLASS = 1500
@@ -84,12 +84,6 @@ class Rows:
         return Rows(self.at[places], self.values[places], np.concatenate([[0], np.cumsum(n)]))
 
 
-def spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of ranges that begin at first and have n numbers, one range after the other."""
-    n = n.astype(np.int64)
-    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
-
-
 def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each distinct key in order, and the sum of its numbers."""
     if len(key) and key[-1] < 1 << 31 and key.max() < 1 << 31 and n.max() < 1 << 32:

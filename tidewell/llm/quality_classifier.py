@@ -115,8 +115,8 @@ def principal_axes(table: L.Rows, n_terms: int, dimensions: int) -> np.ndarray:
     top = np.argsort(-values, kind="stable")[:dimensions]
     top = top[values[top] > 1e-10 * max(values.max(), 1e-300)]
     axes = combined(lists, (left[:, top] / np.sqrt(values[top])).astype(np.float32))
-    signs = np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(top))])
-    axes *= signs
+    for own in axes.T:  # of the two signs, the one that makes the largest part positive
+        own *= 1 if own.max() >= -own.min() else -1
     return axes
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from tidewell.llm import labelled as L
-from tidewell.llm._common import arrow_map, map_rows, pick
+from tidewell.llm._common import arrow_map, map_rows, pick, spread
 
 NEIGHBOURS = 10
 #: Texts of one product, examples of a block of a list, and the length from which a list is kept in full.
@@ -91,7 +91,7 @@ class Index:
             best = np.maximum.reduceat(out, np.arange(0, self.size, BLOCK), axis=1)
             look = np.flatnonzero((best + gain >= least - SLACK).reshape(-1)[key])
             places, text, weight = places[look], text[look], weight[look]
-        entry, many = L.spread(self.ends[places], self.ends[places + 1] - self.ends[places])
+        entry, many = spread(self.ends[places], self.ends[places + 1] - self.ends[places])
         key = np.repeat(text * self.size, many) + self.example[entry]
         more = np.bincount(key, np.repeat(weight, many) * self.weight[entry], n * self.size).reshape(n, -1)
         out += more
