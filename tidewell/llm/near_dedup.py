@@ -247,13 +247,16 @@ def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int)
     m = m.withColumn("j", F.explode(others)).withColumns({"lo": F.least("i", "j"), "hi": F.greatest("i", "j")})
     m = m.select("g", "lo", "hi", "i", "node", "root").join(sets, "node")
 
-    def run(group):
-        import pandas as pd  # here only, as the other steps' workers do without
+    kind = sets.schema["node"].dataType.simpleString()
 
-        nodes, roots, vals = group["node"].tolist(), group["root"].tolist(), group["vals"].tolist()
-        lo, one = group["lo"].iloc[0], group["lo"].iloc[0] == group["hi"].iloc[0]
-        left = [k for k, i in enumerate(group["i"]) if i == lo]
-        right = left if one else [k for k, i in enumerate(group["i"]) if i != lo]
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        nodes, roots = group["node"].to_pylist(), group["root"].to_pylist()
+        lists = group["vals"].chunk(0)
+        cuts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        lo, one = group["lo"][0].as_py(), group["lo"][0] == group["hi"][0]
+        left = [k for k, i in enumerate(group["i"].to_pylist()) if i == lo]
+        right = left if one else sorted(set(range(len(nodes))) - set(left))
         up: dict = {}
 
         def top(x):
@@ -261,8 +264,7 @@ def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int)
                 x = up[x]
             return x
 
-        every, at = np.unique(np.concatenate(vals), return_inverse=True)
-        cuts = np.cumsum([0, *map(len, vals)])
+        every, at = np.unique(lists.flatten().to_numpy(), return_inverse=True)
         mark = np.zeros(len(every), bool)
         out = []
         for k in left:
@@ -270,15 +272,15 @@ def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int)
             mark[own] = True
             for r in right:
                 if (r > k or not one) and (x := top(roots[k])) != (y := top(roots[r])):
-                    small, large = sorted((len(vals[k]), len(vals[r])))
+                    small, large = sorted((len(own), int(cuts[r + 1] - cuts[r])))
                     if 100 * small >= percent * large and enough(int(mark[at[cuts[r] : cuts[r + 1]]].sum()), small, large, percent):
                         up[x] = y
                         out.append((nodes[k], nodes[r]))
             mark[own] = False
-        return pd.DataFrame(out, columns=["a", "b"])
+        typed = group.schema.field("node").type
+        return pa.table({"a": pa.array([a for a, _ in out], typed), "b": pa.array([b for _, b in out], typed)})
 
-    kind = sets.schema["node"].dataType.simpleString()
-    return m.groupBy("g", "lo", "hi").applyInPandas(run, f"a {kind}, b {kind}")
+    return m.groupBy("g", "lo", "hi").applyInArrow(run, f"a {kind}, b {kind}")
 
 
 def links(rows: DataFrame, reps: DataFrame, size: int, percent: int, unique: bool) -> DataFrame:
