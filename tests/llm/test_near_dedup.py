@@ -57,6 +57,9 @@ def corpus(seed):
 def test_against_brute_force(spark, monkeypatch, limit, seed, size):
     monkeypatch.setattr(N, "LIST", limit)
     monkeypatch.setattr(N, "BLOCK", 7)
+    monkeypatch.setattr(N, "SLICE", 4)
+    if seed == 2:  # nothing is broadcast
+        monkeypatch.setattr(N, "BROADCAST_IDS", 0)
     rows = corpus(seed)
     got = N.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string"), size=size).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, size, 80)

@@ -232,6 +232,41 @@ def _prefix(n: Column, percent: int) -> Column:
     return F.when(n <= int(K * percent / 100), whole).otherwise(F.least(n, F.lit(K)) - least_shared(K, percent) + 1).cast("int")
 
 
+def _rarest(busy: DataFrame, common: DataFrame, percent: int) -> DataFrame:
+    """(node, n, fame, v, df): the values of each sketch that must be looked at, rarest first; df is 0 but
+    for the common values, and fame the sum over all of a sketch. The common values go to the tasks if
+    their checked number allows it; else values are joined with them."""
+    if common.count() > BROADCAST_IDS:
+        values = busy.select("node", "n", F.explode("sketch").alias("v")).join(common, "v", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        ranked = values.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"), F.sum("df").alias("fame"))
+        rows = ranked.select("node", "n", "fame", F.explode(F.slice("vs", F.lit(1), _prefix(F.col("n"), percent))).alias("x"))
+        return rows.select("node", "n", "fame", "x.v", "x.df")
+    table = common.orderBy("v").toArrow()
+    shared = busy.sparkSession.sparkContext.broadcast((table["v"].to_numpy(), table["df"].to_numpy()))
+    least = least_shared(K, percent)
+    bound_batches(busy.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = shared.value
+        for batch in batches:
+            lists, sizes = batch.column(2), batch.column(1).to_numpy()
+            values, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+            df = np.where(known[at] == values, count[at], 0) if len(known) else np.zeros(len(values), np.int64)
+            fame = np.bincount(of, df, len(lists)).astype(np.int64)
+            order = np.lexsort((values, df, of))
+            place = np.arange(len(of)) - np.searchsorted(of, of)  # within the row, now in the order of df
+            whole = sizes - -(-sizes * percent // 100) + 1
+            enough_ = np.where(sizes <= K * percent // 100, whole, np.minimum(sizes, K) - least + 1)
+            take = order[place < enough_[of]]
+            row = pa.array(of[take])
+            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(fame[of[take]]), pa.array(values[take]), pa.array(df[take])]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "fame", "v", "df"])
+        relieve()
+
+    return busy.mapInArrow(run, f"node {busy.schema['node'].dataType.simpleString()}, n bigint, fame bigint, v bigint, df bigint")
+
+
 def _blocks(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among members (g, node, first) of groups that were too long to be paired: each block
     with a ``first`` member is compared with every other block, a pair of blocks to a task. Members
@@ -290,13 +325,10 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int, unique: boo
     hot = stored(first.groupBy("v").count().where(F.col("count") > LIST).select("v"))
     by_overlap = _pairs_of_lists(first.join(hot, "v", "left_anti"), ["v"], percent).groupBy("a", "b").count().where(F.col("count") >= least_shared(FEW, percent))
 
-    busy = first.join(hot, "v", "left_semi").select("node").distinct()
-    busy = stored(reps.join(busy, "node", "left_semi").select("node", "n", F.explode("sketch").alias("v")))
-    common = stored(busy.groupBy("v").agg(F.count("*").alias("df")).where(F.col("df") > LIST))
-    ranked = busy.join(common, "v", "left").groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "v"))).alias("vs"), F.sum(F.coalesce("df", F.lit(0))).alias("fame")
-    )
-    looked = stored(ranked.select("node", "n", "fame", F.explode(F.slice("vs", F.lit(1), _prefix(F.col("n"), percent))).alias("x")).select("node", "n", "fame", "x.v", "x.df"))
+    busy = reps.join(first.join(hot, "v", "left_semi").select("node").distinct(), "node", "left_semi").select("node", "n", "sketch")
+    each = busy.select(F.explode("sketch").alias("v"))
+    common = stored(each.groupBy("v").agg(F.count("*").alias("df")).where(F.col("df") > LIST))
+    looked = stored(_rarest(busy, common, percent))
     by_rare = _pairs_of_lists(looked.where("df = 0").select("v", "node", "n"), ["v"], percent)
 
     long = looked.where("df > 0").select("v", "node", "n", "fame")
