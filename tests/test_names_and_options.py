@@ -5,43 +5,43 @@ from tidewell.operators import mapping as M
 from tidewell.options import OptionError, Options
 
 
-def test_quoting():
-    assert I.quoted_name("abc_1") == '"ABC_1"'
-    assert I.quoted_name("a b") == '"a b"'
-    assert I.quoted_name('a"b') == '"a""b"'
-    assert I.quoted_keep_case("abc") == '"abc"'
-    assert I.is_quoted('"MyCol"') and I.is_quoted('"My""Col"')
-    assert not I.is_quoted('"a" or "b"') and not I.is_quoted('"') and not I.is_quoted("a")
-    payload = '"x" --"'
-    assert '"' not in I.ensure_quoted(payload)[1:-1].replace('""', "")
-
-
-def test_read_and_stored_names():
-    assert I.read_name("ABC") == "ABC"
-    assert I.read_name("abc") == '"abc"'
-    assert I.read_name("abc", keep_case=True) == "abc"
-    assert I.stored_name("abc") == "ABC"
-    assert I.stored_name('"abc"') == "abc"
-    assert I.stored_name("abc", keep_case=True) == "abc"
-
-
-def test_qualify():
-    assert I.qualify("db", "s", "t") == '"DB"."S".t'
-    assert I.qualify("db", "s", "s2.t") == '"DB".s2.t'
-    assert I.qualify("db", "s", "d.s.t") == "d.s.t"
-    assert I.qualify("db", "s", "d..t") == "d..t"
-    assert I.qualify("db", "s", '"a.b"') == '"DB"."S"."a.b"'
-
-
-def test_staging_name_goes_inside_the_quote():
-    assert I.staging_name("t").startswith("t_staging_")
-    out = I.staging_name('"My.Schema"."Table.1" ')
-    assert out.startswith('"My.Schema"."Table.1_staging_') and out.endswith('"')
-
-
-def test_safe_names():
-    assert I.safe_names(["1a", "a b", "a.b", "A_B"]) == {"1a": "_a", "a b": "a_b", "a.b": "a_b_", "A_B": "A_B__"}
-    assert I.safe_names(["x y"], upper=True) == {"x y": "X_Y"}
+@pytest.mark.parametrize(
+    ("written", "stored", "kept"),
+    [
+        ("weight_kg", "WEIGHT_KG", "weight_kg"),
+        ("_7", "_7", "_7"),
+        ("7up", "7up", "7up"),
+        ("net weight", "net weight", "net weight"),
+        ("größe", "größe", "größe"),
+        ('"net weight"', "net weight", "net weight"),
+        ('"Tare"', "Tare", "Tare"),
+        ('"5"" pipe"', '5" pipe', '5" pipe'),
+        ('5" pipe', '5" pipe', '5" pipe'),
+        ('"in" or "out"', '"in" or "out"', '"in" or "out"'),
+        ('"', '"', '"'),
+        ('""', "", ""),
+    ],
+)
+def test_written_and_stored_names(written, stored, kept):
+    assert I.stored_name(written) == stored
+    assert I.stored_name(written, keep_case=True) == kept
+    assert I.stored_name(I.quote(stored)) == stored  # what is quoted comes back as it is
+
+
+def test_names_that_readers_see():
+    assert [I.read_name(n) for n in ("TARE", "_T4", "Tare", "4T", "GROSS WT", 'A"')] == ["TARE", "_T4", '"Tare"', '"4T"', '"GROSS WT"', '"A"""']
+    assert I.read_name("gross wt", keep_case=True) == "gross wt"
+    for name in ("TARE", "tare", "gross wt", 'q"q', "É"):
+        assert I.stored_name(I.read_name(name)) == name  # what is read can be written again
+
+
+def test_dotted_names():
+    assert I.parts("depot.crates") == ["DEPOT", "CRATES"]
+    assert I.parts(' a."b.c"."D""E" ') == ["A", "b.c", 'D"E']
+    assert I.parts("x$1") == ["X$1"]
+    for bad in ("", "a..b", ".a", "a b", '"open', "a;drop", "4x"):
+        with pytest.raises(ValueError):
+            I.parts(bad)
 
 
 def test_column_map_text():
@@ -70,7 +70,8 @@ def test_explicit_map():
 
 def test_options():
     o = Options.parse({"DbTable": "t", "USESTAGINGTABLE": "off", "truncate_table": "enabled", "sfUser": "x", "odd": 1})
-    assert o["usestagingtable"] is False and o["truncate_table"] is True and o.unknown == ("odd",)
+    assert o["usestagingtable"] is False and o["truncate_table"] is True and o.unknown == ("odd", "sfuser")
+    assert o.given == {"dbtable", "usestagingtable", "truncate_table", "sfuser", "odd"}
     assert o.source == ("table", "t")
     assert Options.parse({"dbtable": "(select 1;)"}).source == ("query", "select 1")
     assert Options.parse({"query": "select 1 ; "}).source == ("query", "select 1")

@@ -1,48 +1,55 @@
 import datetime as dt
 
-from pyspark.sql.types import BooleanType, DateType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType, TimestampType
+import pytest
+from pyspark.sql import types as T
 
 from tidewell.functions import predicates as P
 
-SCHEMA = StructType(
-    [StructField(n, t) for n, t in (("test_bool", BooleanType()), ("test_string", StringType()), ("test_double", DoubleType()), ("test_float", FloatType()), ("test_int", IntegerType()), ("test_date", DateType()), ("test_timestamp", TimestampType()))]
-)
+SCHEMA = T.StructType()
+for _name, _type in (("crate", T.IntegerType()), ("label", T.StringType()), ("net", T.DoubleType()), ("tare", T.FloatType()), ("sealed", T.BooleanType()), ("packed", T.DateType()), ("seen", T.TimestampType())):
+    SCHEMA.add(_name, _type)
 
 
 def squeezed(text):
     return text.replace(" ", "")
 
 
-def test_text():
-    assert P.where([], SCHEMA) == ""
-    assert P.where([P.Compare("test_string", "=", "Unicode's樂趣")], SCHEMA) == "WHERE test_string = 'Unicode''s樂趣'"
-    assert P.where([P.Compare("test_string", "=", "a\\b")], SCHEMA) == "WHERE test_string = 'a\\\\b'"
-    assert P.where([P.Compare("test_int", "=", 1)], SCHEMA, True) == 'WHERE "test_int" = 1'
-
-
-def test_text_of_many():
-    many = [
-        P.Compare("test_bool", "=", True), P.Compare("test_double", ">", 1000.0), P.Compare("test_float", ">=", 1.0), P.Compare("test_int", "<=", 43),
-        P.Text("test_string", "starts", "prefix"), P.Text("test_string", "ends", "suffix"), P.Text("test_string", "contains", "infix"), P.In("test_int", (2, 3, 4)),
-        P.Compare("test_date", "=", dt.date(2013, 4, 5)), P.Compare("test_timestamp", "=", dt.datetime(2013, 4, 5, 12, 1, 2, 987654)),
-    ]
-    want = """WHERE test_bool = true AND test_double > 1000.0 AND test_float >= 1.0 AND test_int <= 43 AND STARTSWITH( test_string , 'prefix' )
-        AND ENDSWITH( test_string , 'suffix' ) AND CONTAINS( test_string , 'infix' ) AND ( test_int IN ( 2 , 3 , 4 ))
-        AND test_date = '2013-04-05'::DATE AND test_timestamp = '2013-04-05 12:01:02.987654'::TIMESTAMP(6)"""
-    assert squeezed(P.where(many, SCHEMA)) == squeezed(want.replace("\n", ""))
+@pytest.mark.parametrize(
+    ("predicate", "text"),
+    [
+        (P.Compare("label", "=", "d'Été 梨"), "label = 'd''Été 梨'"),
+        (P.Compare("label", "=", r"C:\pears"), r"label = 'C:\\pears'"),
+        (P.Compare("crate", "<=", -12), "crate <= -12"),
+        (P.Compare("net", ">", 0.125), "net > 0.125"),
+        (P.Compare("sealed", "=", False), "sealed = false"),
+        (P.In("crate", (11, 5)), "( crate IN ( 11 , 5 ))"),
+        (P.Text("label", "starts", "pe"), "STARTSWITH( label , 'pe' )"),
+        (P.Text("label", "ends", "'"), "ENDSWITH( label , '''' )"),
+        (P.Text("label", "contains", "%"), "CONTAINS( label , '%' )"),
+        (P.Compare("packed", ">=", dt.date(1987, 12, 31)), "packed >= '1987-12-31'::DATE"),
+        (P.Compare("seen", "<", dt.datetime(2031, 2, 28, 23, 59, 0, 40)), "seen < '2031-02-28 23:59:00.000040'::TIMESTAMP(6)"),
+        (P.Null("tare"), "( tare IS NULL)"),
+        (P.Null("tare", False), "( tare IS NOT NULL)"),
+        (P.Not(P.Null("net")), "(NOT ( ( net IS NULL) ))"),
+        (P.Both(P.Compare("crate", ">", 2), P.Compare("net", "<", 9.5)), "(( crate > 2 ) AND ( net < 9.5 ))"),
+        (P.Either(P.Not(P.Compare("label", "=", "x")), P.In("crate", (1,))), "(( (NOT ( label = 'x' )) ) OR ( ( crate IN ( 1 )) ))"),
+    ],
+)
+def test_text_of_each(predicate, text):
+    assert squeezed(P.render(predicate, SCHEMA)) == squeezed(text)
 
 
-def test_unknown_and_untranslatable_parts_are_left_out():
-    known = P.Compare("test_int", "=", 7)
-    assert P.where([P.Compare("test_foo", "=", True), known], SCHEMA) == "WHERE test_int = 7"
-    assert P.render(P.Either(known, P.Compare("test_int", "<=>", 1)), SCHEMA) is None
-    assert P.render(P.Not(P.Like("test_string", "a%b")), SCHEMA) is None
+def test_text_of_several():
+    assert P.where([], SCHEMA) == ""
+    assert squeezed(P.where([P.Compare("crate", ">", 2), P.Null("label")], SCHEMA)) == squeezed("WHERE crate > 2 AND ( label IS NULL)")
+    assert P.where([P.Compare("crate", "=", 2)], SCHEMA, True) == 'WHERE "crate" = 2'
 
 
-def test_logic():
-    p = P.Either(P.Compare("test_bool", "=", True), P.Both(P.Compare("test_float", "=", 3.13), P.Not(P.Compare("test_int", "=", 7))))
-    assert squeezed(P.render(p, SCHEMA)) == squeezed("(( test_bool = true ) OR ( (( test_float = 3.13 ) AND ( (NOT ( test_int = 7 )) )) ))")
-    assert squeezed(P.render(P.Either(P.Not(P.Null("test_int")), P.Null("test_float", False)), SCHEMA)) == squeezed("(( (NOT ( ( test_int IS NULL) )) ) OR ( ( test_float IS NOT NULL) ))")
+def test_what_has_no_text_is_left_out():
+    known = P.Compare("crate", "=", 4)
+    assert P.where([P.Compare("pallet", "=", 1), known], SCHEMA) == "WHERE crate = 4"
+    assert P.render(P.Either(known, P.Compare("net", "<=>", 1.0)), SCHEMA) is None
+    assert P.render(P.Both(P.Like("label", "p_ar"), known), SCHEMA) is None
 
 
 def test_columns(spark):

@@ -1,87 +1,44 @@
-"""Names of tables and columns: quoting, case, qualification, column maps."""
+"""Names of tables and columns.
+
+A written name is either exact (in double quotes, a quote inside doubled) or plain. Plain names that
+need no quotes are stored in capitals; everything else is stored as it stands. Readers see a stored
+name bare if it could have been written plain, else with its quotes.
+"""
 
 from __future__ import annotations
 
 import re
-import uuid
-
-_LEGAL = re.compile(r"[_a-zA-Z][_0-9a-zA-Z]*")
-_BARE = re.compile(r"[_A-Z][_0-9A-Z]*")
-_PART = r'(?:[a-zA-Z_][\w$]*|"(?:[^"]|"")+")'
-
 
-def is_quoted(name: str) -> bool:
-    """In double quotes, with every quote inside doubled."""
-    return len(name) >= 2 and name[0] == name[-1] == '"' and '"' not in name[1:-1].replace('""', "")
+_EXACT = r'"(?:[^"]|"")*"'
+_PLAIN = r"[A-Za-z_]\w*"
+_DOTTED = re.compile(rf"\s*(?:{_EXACT}|[A-Za-z_][\w$]*)(?:\.(?:{_EXACT}|[A-Za-z_][\w$]*))*\s*", re.A)
+_PARTS = re.compile(rf"{_EXACT}|[^.\s]+")
 
 
 def quote(name: str) -> str:
-    return '"' + name.replace('"', '""') + '"'
-
-
-def quoted_name(name: str) -> str:
-    """A legal bare name is upper-cased and quoted; any other is quoted as it is."""
-    return quote(name.upper()) if _LEGAL.fullmatch(name) else quote(name)
-
-
-def quoted_keep_case(name: str) -> str:
-    return name if is_quoted(name) else quote(name)
-
-
-def ensure_quoted(name: str) -> str:
-    return name if is_quoted(name) else quoted_name(name)
+    doubled = name.replace('"', '""')
+    return f'"{doubled}"'
 
 
-def unquoted(name: str) -> str:
-    return name[1:-1] if is_quoted(name) else name
+def stored_name(written: str, keep_case: bool = False) -> str:
+    """The name that is stored for a written one; with ``keep_case`` plain names stay as they are."""
+    if re.fullmatch(_EXACT, written):
+        return written[1:-1].replace('""', '"')
+    plain = re.fullmatch(_PLAIN, written, re.A)
+    return written.upper() if plain and not keep_case else written
 
 
 def read_name(stored: str, keep_case: bool = False) -> str:
-    """The column name that a reader sees: bare if upper-case and legal, else with its quotes."""
-    return stored if keep_case or _BARE.fullmatch(stored) else quote(stored)
-
-
-def stored_name(column: str, keep_case: bool = False) -> str:
-    """The column name that a writer stores."""
-    name = quoted_keep_case(column) if keep_case else ensure_quoted(column)
-    return name[1:-1].replace('""', '"')
-
-
-def qualify(database: str, schema: str, name: str) -> str:
-    """One part gets database and schema, two parts the database, anything else stays."""
-    if re.fullmatch(_PART, name):
-        return f"{ensure_quoted(database)}.{ensure_quoted(schema)}.{name}"
-    if re.fullmatch(rf"{_PART}\.{_PART}", name):
-        return f"{ensure_quoted(database)}.{name}"
-    return name
+    """The column name that a reader sees."""
+    written_plain = re.fullmatch(_PLAIN, stored, re.A) and stored == stored.upper()
+    return stored if keep_case or written_plain else quote(stored)
 
 
 def parts(name: str) -> list[str]:
-    """Stored names of the parts of a dotted name; bare parts are upper-cased."""
-    found = re.findall(_PART, name)
-    if ".".join(found) != name.strip():
+    """Stored names of the parts of a dotted name. What is no such name is an error."""
+    if not _DOTTED.fullmatch(name):
         raise ValueError(f"not a table name: {name!r}")
-    return [stored_name(p) for p in found]
-
-
-def staging_name(name: str) -> str:
-    """A new name beside the given one; the addition stands inside a closing quote."""
-    name, extra = name.strip(), f"_staging_{uuid.uuid4().int % 10**9}"
-    return f'{name[:-1]}{extra}"' if name.endswith('"') else name + extra
-
-
-def safe_names(names: list[str], upper: bool = False) -> dict[str, str]:
-    """Names for file columns: other signs than letters, digits and _ become _, as does a leading
-    digit; a name that is taken, whatever its case, gets another _."""
-    taken: set[str] = set()
-    out = {}
-    for name in names:
-        safe = re.sub(r"^\d|[^a-zA-Z0-9_]", "_", name)
-        while safe.upper() in taken:
-            safe += "_"
-        taken.add(safe.upper())
-        out[name] = safe.upper() if upper else safe
-    return out
+    return [stored_name(p) if p[0] == '"' else p.upper() for p in _PARTS.findall(name)]
 
 
 def parse_column_map(text: str) -> dict[str, str]:

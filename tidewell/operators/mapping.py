@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewell.functions.identifiers import ensure_quoted, unquoted
+from tidewell.functions.identifiers import stored_name
 from tidewell.functions.types import quoted
 
 
@@ -42,7 +42,7 @@ def explicit(pairs: Mapping[str, str], own: list[str], table: list[str]) -> dict
     for source, target in pairs.items():
         if source not in own:
             raise MappingError(f"the DataFrame has no column {source}")
-        name = target if target in table else unquoted(ensure_quoted(target))
+        name = target if target in table else stored_name(target)
         if name not in table:
             raise MappingError(f"the table has no column {target}")
         out[source] = name

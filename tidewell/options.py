@@ -10,26 +10,18 @@ from tidewell.functions.identifiers import parse_column_map
 
 log = logging.getLogger(__name__)
 
-# What counts as true, and option names that concern a remote service and have no
-# meaning for tables on a file system. The latter are accepted and do nothing.
+# What counts as true and as false.
 TRUE = ("on", "yes", "true", "1", "enabled")
 FALSE = ("off", "no", "false", "0", "disabled")
-REMOTE = (
-    "sfurl", "sfuser", "sfpassword", "sfaccount", "sfrole", "sfwarehouse", "sfssl", "sfauthenticator", "sftoken", "pem_private_key",
-    "sfworkloadidentityprovider", "awsaccesskey", "awssecretkey", "temporary_aws_access_key_id", "temporary_aws_secret_access_key",
-    "temporary_aws_session_token", "temporary_azure_sas_token", "use_proxy", "proxy_host", "proxy_port", "proxy_user", "proxy_password",
-    "non_proxy_hosts", "jdbc_query_result_format", "max_retry_count", "use_exponential_backoff", "support_share_connection",
-)
 BOOLEANS = {
     "usestagingtable": True, "truncate_table": False, "continue_on_error": False, "truncate_columns": False, "force": False, "purge": False,
     "trim_space": False, "use_copy_unload": False, "use_parquet_in_write": False, "use_json_in_structured_data": False, "keep_column_case": False,
-    "treat_decimal_as_long": False, "compress": True, "internal_skip_write_when_writing_empty_dataframe": False,
+    "treat_decimal_as_long": False, "verify_rows": False, "compress": True, "internal_skip_write_when_writing_empty_dataframe": False,
 }
 INTEGERS = {"partition_size_in_mb": 100, "expected_partition_count": 1000, "s3maxfilesize": 10_000_000, "max_records_per_file": 0}
 TEXTS = (
     "dbtable", "query", "sfdatabase", "sfschema", "tempdir", "stage_dir", "load_id", "warehouse_dir", "preactions", "postactions", "columnmap",
-    "column_mapping", "column_mismatch_behavior", "string_timestamp_format", "sftimezone", "timestamp_ntz_output_format",
-    "timestamp_ltz_output_format", "timestamp_tz_output_format", "time_output_format",
+    "column_mapping", "column_mismatch_behavior", "string_timestamp_format", "sftimezone", "files",
 )
 #: Other names of the same options.
 ALIASES = {"sfcompress": "compress", "stage": "stage_dir", "table": "dbtable"}
@@ -51,11 +43,14 @@ def boolean(name: str, value: object) -> bool:
 
 @dataclass(frozen=True)
 class Options:
-    """Validated options; unknown names are kept in ``unknown`` and otherwise ignored."""
+    """Validated options. Unknown names, among them all that concern a remote service or its own text
+    formats, are kept in ``unknown``, named in a warning, and otherwise ignored."""
 
     values: Mapping[str, object]
     column_map: Mapping[str, str] | None = None
     unknown: tuple[str, ...] = field(default=())
+    #: Names that the caller has given.
+    given: frozenset[str] = field(default=frozenset())
 
     @classmethod
     def parse(cls, given: Mapping[str, object]) -> Options:
@@ -81,12 +76,12 @@ class Options:
                 raise OptionError(f"{name} must be one of {allowed}, not {values[name]!r}")
         if "dbtable" in values and "query" in values:
             raise OptionError("give dbtable or query, not both")
-        known = {*values, *TEXTS, *REMOTE}
+        known = {*values, *TEXTS}
         unknown = tuple(sorted(lower.keys() - known))
         if unknown:
             log.warning("options that have no meaning here: %s", ", ".join(unknown))
         column_map = parse_column_map(str(values["columnmap"])) if "columnmap" in values else None
-        return cls(values, column_map, unknown)
+        return cls(values, column_map, unknown, frozenset(lower))
 
     def __getitem__(self, name: str):
         return self.values[name]
