@@ -48,5 +48,5 @@ def test_scan_reads_only_what_is_asked_for(spark):
 
 def test_joins_and_loads_of_whole_tables(spark):
     found, size = registry.queries(), lambda t: spark.read.parquet(f"{DATA}/{t}.parquet").count()
-    assert found["join_right_whole"](spark, DATA).count() == size("orders")
+    assert found["join_right"](spark, DATA).count() == size("orders")
     assert found["write_trim_documents"](spark, DATA).count() == found["copy_truncate_documents"](spark, DATA).count() == size("documents")

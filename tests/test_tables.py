@@ -1,11 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell import read, runtime, write
+from tidewell import load, read, runtime, write
+from tidewell.functions import codec
 from tidewell.operators.mapping import MappingError
 from tidewell.options import OptionError
 from tidewell.sources.catalog import FallbackCatalog, denied, stored_tables
-from tidewell.sources.store import Conflict, Manifest, NoTable, Store, TableExists
+from tidewell.sources.files import Files
+from tidewell.sources.loader import MissingFile
+from tidewell.sources.reader import drop_stage
+from tidewell.sources.store import Conflict, Manifest, NoTable, RowsLost, Store, TableExists
 from tidewell.streaming.append import append_batch
 
 
@@ -51,7 +55,7 @@ def test_a_failed_overwrite_changes_nothing(spark, home, staging, truncate, step
     assert (store.manifest("PUBLIC/T") is not None) is there
     if there:
         assert ids(got(spark, home)) == [0, 1, 2, 3]
-        assert store.vacuum("PUBLIC/T") == []
+        assert store.vacuum("PUBLIC/T", older_than=0) == []
 
 
 def test_overwrite_schemas(spark, home):
@@ -80,7 +84,8 @@ def test_old_plans_stay_valid_and_vacuum(spark, home):
     before = got(spark, home)
     put(before.where("ID > 0"), home, truncate_table="on")
     assert ids(before) == [0, 1, 2] and ids(got(spark, home)) == [1, 2]
-    assert len(Store(spark, home).vacuum("PUBLIC/T")) == 1
+    assert Store(spark, home).vacuum("PUBLIC/T") == []  # too young
+    assert len(Store(spark, home).vacuum("PUBLIC/T", older_than=0)) == 1
     assert ids(got(spark, home)) == [1, 2]
 
 
@@ -129,6 +134,124 @@ def test_actions(spark, home):
     assert runtime.statements("a %s; b", "t") == ["a t", "b"]
 
 
+def test_a_failing_post_action_undoes_the_write(spark, home):
+    put(spark.range(3), home)
+    with pytest.raises(Exception, match="(?i)no_such"):
+        put(spark.range(9), home, postactions="CREATE TEMPORARY VIEW v AS SELECT * FROM no_such_table")
+    assert ids(got(spark, home)) == [0, 1, 2]
+
+
+def test_vacuum_beside_a_write(spark, home):
+    """One writer has filled its folder when another cleans up; even a careless clean-up is noticed."""
+    put(spark.range(3), home)
+    store = Store(spark, home)
+    version, n = store.write_version("PUBLIC/T", spark.range(3, 5).toDF("ID"))
+    put(spark.range(7, 8), home, "append", purge="on")
+    assert store.vacuum("PUBLIC/T") == []
+    store.append("PUBLIC/T", version, n)
+    assert ids(got(spark, home)) == [0, 1, 2, 3, 4, 7]
+    version, n = store.write_version("PUBLIC/T", spark.range(9, 10).toDF("ID"))
+    assert store.vacuum("PUBLIC/T", older_than=0) == [version]
+    with pytest.raises(Conflict):
+        store.append("PUBLIC/T", version, n)
+    assert ids(got(spark, home)) == [0, 1, 2, 3, 4, 7]
+
+
+def test_two_writers_of_one_manifest(spark, home):
+    from concurrent.futures import ThreadPoolExecutor
+
+    files = Store(spark, home).files
+    files.make("PUBLIC/T")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: files.put_new("PUBLIC/T/_manifest.1.json", f"writer {k}"), range(24)))
+    assert sum(won) == 1 and files.text("PUBLIC/T/_manifest.1.json") == f"writer {won.index(True)}"
+    assert not any(n.endswith(".tmp") for n in files.names("PUBLIC/T"))
+
+
+def test_rows_are_checked(spark, home):
+    put(spark.range(100).repartition(4), home)
+    store = Store(spark, home)
+    assert store.verify("PUBLIC/T") == got(spark, home, verify_rows="on").count() == 100
+    version = store.manifest("PUBLIC/T").versions[0]
+    lost = next(n for n in store.files.names(f"PUBLIC/T/{version}") if n.startswith("part-"))
+    store.files.delete(f"PUBLIC/T/{version}/{lost}")
+    with pytest.raises(RowsLost):
+        got(spark, home, verify_rows="on")
+
+
+def stage_of(spark, home):
+    stage = f"{home}-in"
+    codec.write_csv(spark.createDataFrame([(1, "a|b"), (2, 'q"\nx')], "i int, s string").coalesce(1), f"{stage}/one")
+    codec.write_json(spark.createDataFrame([(3, "c")], "I int, S string").coalesce(1), f"{stage}/two")
+    spark.createDataFrame([("d", 4)], "S string, I int").coalesce(1).write.parquet(f"{stage}/three")
+    return stage, {n.split("/")[0]: n for n in (f.name for f in Files(spark, stage).tree()) if "/part-" in n}
+
+
+def test_loads_of_staged_files(spark, home):
+    stage, names = stage_of(spark, home)
+    put(spark.createDataFrame([], "i int, s string"), home)
+    make = lambda **more: load(spark).options(dbtable="t", warehouse_dir=home, stage_dir=stage, **more).load()
+    first = make(files=names["one"])
+    assert (first.rows, first.files, first.skipped) == (2, (names["one"],), ())
+    rest = make()
+    assert rest.rows == 2 and set(rest.files) == {names["two"], names["three"]} and rest.skipped == (names["one"],)
+    assert make().rows == 0
+    assert make(force="on", files=f"{names['two']}, {names['two']}").rows == 1
+    assert sorted((r.I, r.S) for r in got(spark, home).collect()) == [(1, "a|b"), (2, 'q"\nx'), (3, "c"), (3, "c"), (4, "d")]
+    with pytest.raises(MissingFile):
+        make(files="one/absent.csv")
+    with pytest.raises(NoTable):
+        load(spark).options(dbtable="other", warehouse_dir=home, stage_dir=stage).load()
+    codec.write_json(spark.createDataFrame([(5, "e")], "I int, S string").coalesce(1), f"{stage}/four")
+    assert make(purge="on").rows == 1  # only what it has taken goes
+    assert {f.name.split("/")[0] for f in Files(spark, stage).tree() if "/part-" in f.name} == {"one", "two", "three"}
+
+
+def test_a_failed_load_keeps_its_files(spark, home):
+    stage, _ = stage_of(spark, home)
+    put(spark.createDataFrame([], "i int, s string"), home)
+    with runtime.fail_at("before_commit"), pytest.raises(runtime.InjectedFailure):
+        load(spark).options(dbtable="t", warehouse_dir=home, stage_dir=stage, purge="on").load()
+    assert got(spark, home).count() == 0
+    assert load(spark).options(dbtable="t", warehouse_dir=home, stage_dir=stage, purge="on").load().rows == 4
+    assert not any("/part-" in f.name for f in Files(spark, stage).tree())
+
+
+def test_bad_rows_of_staged_text(spark, home):
+    stage = f"{home}-in"
+    codec.write_csv(spark.createDataFrame([("1", "x"), ("one", "y"), (None, "z")], "i string, s string").coalesce(1), f"{stage}/a")
+    put(spark.createDataFrame([], "i int, s string"), home)
+    with pytest.raises(Exception, match="(?i)cast"):
+        load(spark).options(dbtable="t", warehouse_dir=home, stage_dir=stage).load()
+    assert load(spark).options(dbtable="t", warehouse_dir=home, stage_dir=stage, continue_on_error="on").load().rows == 2
+
+
+def test_partition_and_file_sizes(spark, home):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")}
+    wide = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("s")).coalesce(1)
+    put(wide, home)
+    try:
+        assert got(spark, home, partition_size_in_mb=100, expected_partition_count=1).rdd.getNumPartitions() == 1
+        assert got(spark, home, partition_size_in_mb=1, expected_partition_count=1).rdd.getNumPartitions() >= 4
+        assert got(spark, home, partition_size_in_mb=100, expected_partition_count=6).rdd.getNumPartitions() >= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    for write_, form in ((codec.write_csv, "csv"), (codec.write_json, "json")):
+        write_(wide, f"{home}-{form}", False, 1_000_000)
+        files = [f for f in Files(spark, f"{home}-{form}").tree() if "part-" in f.name]
+        assert len(files) >= 8 and max(f.size for f in files) < 1_200_000
+    stage = f"{home}-stage"
+    assert got(spark, home, use_copy_unload="on", stage_dir=stage, s3maxfilesize=1_000_000).count() == 60_000
+    assert sum("part-" in f.name for f in Files(spark, stage).tree()) >= 8
+
+
+def test_a_stage_can_be_dropped(spark, home):
+    assert drop_stage(spark, home, "absent") is False
+    spark.range(2).write.parquet(f"{home}/unload-x")
+    assert drop_stage(spark, home, "unload-x") is True and not Files(spark, home).exists("unload-x")
+
+
 def test_last_texts(spark, home):
     from tidewell.functions import predicates as P
 

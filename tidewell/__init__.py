@@ -1,5 +1,6 @@
 """Tables, queries and bulk writes on Spark DataFrames."""
 
+from tidewell.sources.loader import Loader
 from tidewell.sources.reader import Reader
 from tidewell.sources.writer import Writer
 
@@ -14,4 +15,9 @@ def write(df) -> Writer:
     return Writer(df)
 
 
-__all__ = ["Reader", "Writer", "read", "write"]
+def load(spark) -> Loader:
+    """``load(spark).options(dbtable=name, stage_dir=folder).load()``"""
+    return Loader(spark)
+
+
+__all__ = ["Loader", "Reader", "Writer", "load", "read", "write"]

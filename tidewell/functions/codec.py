@@ -88,12 +88,23 @@ def from_text(field: T.StructField) -> Column:
     return c.cast(kind)
 
 
-def write_csv(df: DataFrame, path: str, compress: bool = True) -> None:
+def records_of(cells: DataFrame, max_bytes: int) -> int:
+    """How many records a file may have so that it is of about this size before compression, by the mean
+    length of all records: quoted text can't be split, so a file is what a task reads later. 0: no bound."""
+    if not max_bytes:
+        return 0
+    length = sum((F.coalesce(F.octet_length(F.col(quoted(c))), F.lit(0)) + 3 for c in cells.columns), F.lit(0))
+    mean = cells.agg(F.avg(length)).first()[0]
+    return max(1, int(max_bytes / mean)) if mean else 0
+
+
+def write_csv(df: DataFrame, path: str, compress: bool = True, max_bytes: int = 0) -> None:
+    """Staged text; with ``max_bytes`` in files of about that size at most."""
     cells = df.select(*[as_text(f).alias(f"c{i}") for i, f in enumerate(df.schema)])
-    cells.write.options(**CSV | {"quoteAll": "true", "emptyValue": "", "nullValue": "", "compression": "gzip" if compress else "none"}).csv(path)
+    cells.write.option("maxRecordsPerFile", records_of(cells, max_bytes)).options(**CSV | {"quoteAll": "true", "emptyValue": "", "nullValue": "", "compression": "gzip" if compress else "none"}).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     cells = spark.read.schema(text).options(**CSV | {"nullValue": "", "emptyValue": ""}).csv(path)
     cells = cells.select(*[F.when(F.col(quoted(n)) != "", F.col(quoted(n))).alias(n) for n in cells.columns])
@@ -105,13 +116,13 @@ def json_ready(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.base64(F.col(quoted(f.name))), F.lit("")).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(quoted(f.name)) for f in df.schema])
 
 
-def write_json(df: DataFrame, path: str, compress: bool = True) -> None:
+def write_json(df: DataFrame, path: str, compress: bool = True, max_bytes: int = 0) -> None:
     """One object for each line, nulls included."""
     rows = json_ready(df).select(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
-    rows.write.option("compression", "gzip" if compress else "none").text(path)
+    rows.write.option("maxRecordsPerFile", records_of(rows, max_bytes)).option("compression", "gzip" if compress else "none").text(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BinaryType) else f.dataType, True) for f in schema])
     rows = spark.read.text(path).select(F.from_json("value", text, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return rows.select(*[F.unbase64(F.col(quoted(f.name))).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(quoted(f.name)) for f in schema])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import predicates as P
+from tidewell.plans.scans import known
 from tidewell.plans.tables import table
 
 
@@ -16,10 +17,7 @@ def of(name: str, columns: str, *predicates):
     """A query that selects columns of a table where all predicates hold."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = table(spark, sf_dir, name)
-        for p in predicates:
-            df = df.where(P.column(p))
-        return df.select(*columns.split(", "))
+        return known(spark, sf_dir, name).where(*predicates).load().select(*columns.split(", "))
 
     return run
 
@@ -73,6 +71,7 @@ QUERIES = {
     "filter_timestamp": of("events", "event_id", C("ts", ">=", dt.datetime(2024, 1, 2, 3, 4, 5, 678901))),
     "like_general": of("documents", "doc_id", P.Like("text", "%the%and%")),
     "like_not": of("documents", "doc_id", P.Not(P.Like("text", "%the%and%"))),
+    "like_percent": of("documents", "doc_id", P.Like("text", "%^%%", "^")),
     "like_escape": of("part", "p_partkey", P.Like("p_name", "%e^_%", "^")),
 } | {f.__name__: f for f in (filter_null, filter_not_null, filter_null_safe, filter_three_valued, filter_col_to_col, filter_expression)}
 ORACLES = {
@@ -93,6 +92,7 @@ ORACLES = {
     "filter_timestamp": "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-02 03:04:05.678901'",
     "like_general": "SELECT doc_id FROM documents WHERE text LIKE '%the%and%'",
     "like_not": "SELECT doc_id FROM documents WHERE text NOT LIKE '%the%and%'",
+    "like_percent": "SELECT doc_id FROM documents WHERE text LIKE '%^%%' ESCAPE '^'",
     "like_escape": "SELECT p_partkey FROM part WHERE p_name LIKE '%e^_%' ESCAPE '^'",
     "filter_null": "SELECT o_orderkey FROM orders WHERE nullif(o_orderstatus, 'F') IS NULL",
     "filter_not_null": "SELECT o_orderkey, nullif(o_orderstatus, 'F') AS s FROM orders WHERE nullif(o_orderstatus, 'F') IS NOT NULL",

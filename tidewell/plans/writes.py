@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell import read, write
+from tidewell import load, read, write
+from tidewell.functions import codec
 from tidewell.plans.tables import scratch, table
 from tidewell.sources.catalog import FallbackCatalog
+from tidewell.sources.files import Files
 
 
 class Bench:
@@ -106,6 +108,26 @@ def copy_truncate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Bench(spark).put(rows, truncate_columns="on").get()
 
 
+def copied(*calls: dict[str, object]):
+    """Nations are staged as three files of a format each, and loaded by one call after another."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        n, b = table(spark, sf_dir, "nation"), Bench(spark)
+        stage = scratch(spark)
+        parts = [n.where(F.col("n_regionkey") % 3 == k).coalesce(1) for k in range(3)]
+        codec.write_csv(parts[0], f"{stage}/a")
+        codec.write_json(parts[1], f"{stage}/b")
+        parts[2].write.parquet(f"{stage}/c")
+        names = [f.name for f in Files(spark, stage).tree() if "/part-" in f.name]
+        b.put(n.where("false"))
+        for call in calls:
+            more = {k: ",".join(x for x in names if x[0] in v) if k == "files" else v for k, v in call.items()}
+            load(spark).options(**b.options | {"stage_dir": stage} | more).load()
+        return b.get()
+
+    return run
+
+
 def write_string_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     text = events.select("event_id", F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("ts"))
@@ -145,6 +167,9 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "copy_files": copied({"files": "ac"}, {"files": "c"}, {}),  # files are loaded once
+    "copy_force": copied({}, {"files": "b", "force": "on"}),
+    "copy_purge": copied({"purge": "on", "files": "ab"}, {"force": "on"}),  # what is purged can't be loaded again
     "write_overwrite": overwritten("on", "off"),
     "write_overwrite_truncate_staged": overwritten("on", "on"),
     "write_overwrite_direct": overwritten("off", "off"),
@@ -157,6 +182,9 @@ QUERIES = {
     )
 }
 ORACLES = dict.fromkeys(("write_overwrite", "write_overwrite_truncate_staged", "write_overwrite_direct", "write_overwrite_truncate"), "SELECT * FROM nation WHERE n_regionkey = 1") | {
+    "copy_files": "SELECT * FROM nation",
+    "copy_force": "SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_regionkey % 3 = 1",
+    "copy_purge": "SELECT * FROM nation",
     "write_append": "SELECT * FROM nation WHERE n_nationkey < 10 UNION ALL SELECT * FROM nation WHERE n_nationkey >= 5",
     "write_ignore": "SELECT * FROM nation WHERE n_nationkey = 3",
     "write_insert": "SELECT * FROM nation WHERE n_regionkey = 2",

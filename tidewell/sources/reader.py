@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,7 @@ class Reader:
     def load(self) -> DataFrame:
         o = Options.parse(self._options)
         kind, text = o.source
+        partition_sizes(self.spark, o)
         with runtime.time_zone(self.spark, o.get("sftimezone")):
             runtime.run_actions(self.spark, o.get("preactions"), text if kind == "table" else None)
             df = self._source(o, kind, text)
@@ -68,6 +70,8 @@ class Reader:
         folder = store.folder(text, o["sfschema"])
         if store.manifest(folder) is None and self.spark.catalog.tableExists(text):
             return self.spark.table(text)
+        if o["verify_rows"]:
+            store.verify(folder)
         df = store.scan(folder)
         keep = o["keep_column_case"]
         names = [read_name(n, keep) for n in df.columns]
@@ -80,15 +84,38 @@ class Reader:
         return f"SELECT {columns} FROM {text if kind == 'table' else f'({text})'} {where}".strip()
 
 
+def partition_sizes(spark: SparkSession, o: Options) -> None:
+    """``partition_size_in_mb`` and ``expected_partition_count``, where given. Spark takes the size of scan
+    partitions from the session when a query is planned, so they are set there and stay."""
+    if "partition_size_in_mb" in o.given:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{o['partition_size_in_mb']}m")
+    if "expected_partition_count" in o.given:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(o["expected_partition_count"]))
+
+
 def staged(spark: SparkSession, df: DataFrame, o: Options) -> DataFrame:
     """The rows by way of files in the stage: CSV or JSON by the schema, so an empty string comes
-    back as null from CSV. A stage of the user's own is kept."""
+    back as null from CSV. A stage of the user's own is kept, any other goes when the driver ends."""
     root = o.get("stage_dir") or o.get("tempdir") or default_root(spark) + "/_stage"
     name = f"unload-{uuid.uuid4().hex}"
     Files(spark, root).make("")
     path = f"{root.rstrip('/')}/{name}"
+    if "stage_dir" not in o.given:
+        atexit.register(drop_stage, spark, root, name)
     if codec.unload_format(df.schema) == "json":
-        codec.write_json(df, path, o["compress"])
+        codec.write_json(df, path, o["compress"], o["s3maxfilesize"])
         return codec.read_json(spark, path, df.schema)
-    codec.write_csv(df, path, o["compress"])
+    codec.write_csv(df, path, o["compress"], o["s3maxfilesize"])
     return codec.read_csv(spark, path, df.schema)
+
+
+def drop_stage(spark: SparkSession, root: str, name: str) -> bool:
+    """Remove what a staged read has left, and say whether there was anything. The result is lazy, so this
+    happens when the driver ends, or when a caller who has read it all asks for it."""
+    try:
+        files = Files(spark, root)
+        there = files.exists(name)
+        files.delete(name)
+    except Exception:  # noqa: BLE001  the session may have ended
+        return False
+    return there

@@ -76,14 +76,16 @@ class Writer:
         # All strategies share one way: a new version is written first and then becomes the table, or
         # a part of it, in one step. So a failure at any point leaves the table as it was.
         runtime.run_actions(self.spark, o.get("preactions"), name)
-        load = load_key(o.get("load_id")) if not o["force"] and self._mode == "append" else None
-        if load and now and load in now.loaded:
+        load = load_key(o.get("load_id")) if self._mode == "append" else ()
+        if load and now and load[0] in now.loaded and not o["force"]:
             log.info("%s: the load %s has been done before", name, o.get("load_id"))
             return 0
         version, n = store.write_version(folder, rows, o["max_records_per_file"])
         try:
             runtime.note("load", f"COPY INTO {name} FROM {version} ({codec.write_format(df.schema, o['use_parquet_in_write'], o['use_json_in_structured_data'])})")
+            # The manifest is what commits a write, so actions go before it: one that fails undoes the write.
             runtime.reached("before_post_actions")
+            runtime.run_actions(self.spark, o.get("postactions"), name)
             if self._mode == "overwrite" or now is None:
                 store.swap(folder, schema, version, n, load)
             else:
@@ -91,9 +93,7 @@ class Writer:
         except BaseException:
             store.drop_version(folder, version)
             raise
-        runtime.run_actions(self.spark, o.get("postactions"), name)
-        if o["purge"]:
-            store.vacuum(folder)
+        log.info("%s: %d rows written", name, n)
         return n
 
 
@@ -125,7 +125,7 @@ def prepared(df: DataFrame, schema: StructType, fresh: bool, o: Options) -> Data
     return mapping.aligned(parsed, schema, {t: t for t in pairs.values()})
 
 
-def load_key(load_id: str | None) -> str | None:
+def load_key(load_id: str | None) -> tuple[str, ...]:
     """What a table remembers of a load that its caller has named: the same in every session. Rows are
     never taken for the same because of the files that they come from."""
-    return hashlib.sha256(load_id.encode()).hexdigest() if load_id else None
+    return (hashlib.sha256(load_id.encode()).hexdigest(),) if load_id else ()
