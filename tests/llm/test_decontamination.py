@@ -52,6 +52,17 @@ def test_clean_cuts_and_drops(spark):
     assert out == {1: f"{own}. ! End", 3: own, 4: None, 5: ""}
 
 
+def test_cleaning_by_several_blocks_is_that_by_one(spark):
+    rng = random.Random(3)
+    make = lambda n: " ".join(rng.choice("abcdef") for _ in range(n))
+    items = spark.createDataFrame([(i, make(rng.randrange(3, 9))) for i in range(30)], "item_id int, text string")
+    rows = [(i % 50, make(rng.randrange(0, 60)), "k") for i in range(100)] + [(None, make(9), "k"), (7, None, None), (7, "", "k")]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id int, text string, z string").withColumnRenamed("z", "_row").repartition(4)
+    one, several = (sorted(map(str, D.clean(docs, items, window=5, block_words=n).collect())) for n in (10**6, 25))
+    assert one == several and 0 < len(one) < len(rows) + 5
+    assert len(D.blocks(items, "item_id", "text", 25)) > 3
+
+
 def test_empty_tables(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert {r.n_hit for r in D.scan(odd_docs, none).collect()} == {0}
