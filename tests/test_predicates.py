@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions import predicates as P
@@ -63,6 +65,18 @@ def test_columns(spark):
     assert got(P.In("i", (1, 2))) == ["1", "2"]
 
 
+def test_like_as_spark_has_it(spark):
+    rng = random.Random(3)
+    texts = [None, "", *("".join(rng.choice("ab%_") for _ in range(rng.randrange(9))) for _ in range(150))]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, s string").cache()
+    patterns = ["%a%b%", "a%b%a%", "%a%b%a", "%ab%a%", "a%a%a%a", "%^%%a%", "%a%b%b%", "b%%a%", "%a_b%", "^_%a%b%", "%aa%a%"]
+    for pattern in patterns:
+        want = df.select("i", F.expr(f"s like '{pattern}' escape '^'").alias("x")).collect()
+        assert df.select("i", P.column(P.Like("s", pattern, "^")).alias("x")).collect() == want, pattern
+        assert df.where(P.column(P.Not(P.Like("s", pattern, "^")))).count() == sum(r.x is False for r in want)
+    assert P.segments("%the%and%", "\\") == ["", "the", "and", ""] and P.segments("a_b", "\\") is None and P.segments("a^%%", "^") == ["a%", ""]
+
+
 def test_pushdown(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).selectExpr("id", "id % 7 as k", "cast(id as string) as s").write.parquet(path)

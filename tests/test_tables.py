@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,6 +343,30 @@ def test_fallback_catalog(spark, home):
     assert denied(outer) and not denied(ValueError("404"))
 
 
+def test_closed_jobs_refuse_reads_and_writes(spark, home, caplog):
+    jobs = runtime.Jobs(spark, "tidewell-rw")
+    with caplog.at_level("INFO", logger="tidewell.runtime"):
+        assert write(spark.range(3)).options(dbtable="t", warehouse_dir=home).within(jobs).mode("append").save() == 3
+        assert read(spark).options(dbtable="t", warehouse_dir=home).within(jobs).load().count() == 3
+    assert [(s["kind"], s["rows"], s["status"]) for s in map(json.loads, caplog.messages)] == [("write", 3, "done"), ("read", None, "done")]
+    jobs.close()
+    with caplog.at_level("INFO", logger="tidewell.runtime"), pytest.raises(RuntimeError):
+        write(spark.range(3)).options(dbtable="t", warehouse_dir=home).within(jobs).mode("append").save()
+    last = json.loads(caplog.messages[-1])
+    assert (last["what"], last["status"], last["error"]) == ("t", "failed", "RuntimeError")
+    with pytest.raises(RuntimeError):
+        read(spark).options(dbtable="t", warehouse_dir=home).within(jobs).load()
+    assert got(spark, home).count() == 3
+
+
+def test_queries_can_be_run_and_printed(spark, capfd):
+    from tidewell.sources.catalog import print_query, run_query
+
+    assert [r.x for r in run_query(spark, "select id + 1 as x from range(3);")] == [1, 2, 3]
+    print_query(spark, "select 'shown' as x;")
+    print_query(spark, "select id as x from range(40)", 5)
+
+
 def test_jobs(spark):
     jobs = runtime.Jobs(spark, "tidewell-test")
     with jobs.running():

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import logging
 import re
 import threading
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
 _last = threading.local()
 #: Statements that pre- and post-actions may be.
 ALLOWED = re.compile(r"(?is)^\s*(create\s+(or\s+replace\s+)?(temporary\s+|temp\s+)?(table|view|function)|drop\s+(temporary\s+)?(table|view|function)|merge\s+into)\b")
@@ -91,6 +95,14 @@ class Jobs:
         self.spark.interruptTag(self.tag)
 
 
+def report(kind: str, what: str, began: float, rows: int | None = None, error: BaseException | None = None) -> None:
+    """One line of the log for each read, write and load: what, how long, how many rows, and how it ended."""
+    state = {"kind": kind, "what": what, "seconds": round(time.monotonic() - began, 3), "rows": rows, "status": "failed" if error else "done"}
+    if error:
+        state["error"] = type(error).__name__
+    log.info("%s", json.dumps(state))
+
+
 #: Fail points that tests arm: names of steps of a write.
 _armed: set[str] = set()
 

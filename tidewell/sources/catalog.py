@@ -80,5 +80,10 @@ def run_query(spark: SparkSession, text: str):
     return spark.sql(text.strip().rstrip(";")).toLocalIterator()
 
 
+def print_query(spark: SparkSession, text: str, rows: int = 20) -> None:
+    """Show the first rows of a query; the limit is part of the plan."""
+    spark.sql(text.strip().rstrip(";")).show(rows, truncate=False)
+
+
 def stored_tables(spark: SparkSession, schema: str = "PUBLIC", root: str | None = None) -> list[str]:
     return Store(spark, root).tables(schema)

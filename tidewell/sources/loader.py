@@ -10,7 +10,7 @@ files once their rows are committed, and ``continue_on_error`` leaves out rows t
 from __future__ import annotations
 
 import hashlib
-import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,6 @@ from tidewell.options import OptionError, Options
 from tidewell.sources.files import Files, StagedFile
 from tidewell.sources.store import Store
 
-log = logging.getLogger(__name__)
 FORMATS = {".parquet": "parquet", ".json": "json", ".json.gz": "json", ".txt": "json", ".txt.gz": "json", ".csv": "csv", ".csv.gz": "csv"}
 
 
@@ -59,7 +58,7 @@ class Loader:
         return self
 
     def load(self) -> Loaded:
-        o = Options.parse(self._options)
+        o, began = Options.parse(self._options), time.monotonic()
         kind, name = o.source
         if kind != "table" or not o.get("stage_dir"):
             raise OptionError("a load needs dbtable and stage_dir")
@@ -91,7 +90,7 @@ class Loader:
         if o["purge"]:
             for f in take:
                 stage.delete(f.name)
-        log.info("%s: %d rows from %d files, %d files had been loaded before", name, n, len(take), len(skipped))
+        runtime.report("load", name, began, n)
         return Loaded(n, tuple(f.name for f in take), skipped)
 
     @staticmethod

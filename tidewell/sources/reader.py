@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import time
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -25,6 +27,7 @@ class Reader:
         self._options: dict[str, object] = {}
         self._schema: StructType | None = None
         self._where: list = []
+        self._jobs: runtime.Jobs | None = None
         runtime.register_redaction(spark)
 
     def option(self, name: str, value: object) -> Reader:
@@ -44,7 +47,19 @@ class Reader:
         self._where += conditions
         return self
 
+    def within(self, jobs: runtime.Jobs) -> Reader:
+        """Read as one of these jobs, as far as reading runs jobs at once: closed ones refuse it."""
+        self._jobs = jobs
+        return self
+
     def load(self) -> DataFrame:
+        began = time.monotonic()
+        with self._jobs.running() if self._jobs else nullcontext():
+            df = self._load()
+        runtime.report("read", runtime.last_select() or "", began)
+        return df
+
+    def _load(self) -> DataFrame:
         o = Options.parse(self._options)
         kind, text = o.source
         partition_sizes(self.spark, o)

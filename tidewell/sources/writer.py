@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import time
 from collections.abc import Mapping
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ class Writer:
         self.df, self.spark = df, df.sparkSession
         self._options: dict[str, object] = {}
         self._mode = "error"
+        self._jobs: runtime.Jobs | None = None
         runtime.register_redaction(self.spark)
 
     def option(self, name: str, value: object) -> Writer:
@@ -44,6 +47,11 @@ class Writer:
         self._mode = mode.lower()
         return self
 
+    def within(self, jobs: runtime.Jobs) -> Writer:
+        """Write as one of these jobs: closing them cancels it, and closed ones refuse it."""
+        self._jobs = jobs
+        return self
+
     def insert(self, overwrite: bool = False) -> int:
         return self.mode("overwrite" if overwrite else "append").save()
 
@@ -62,8 +70,15 @@ class Writer:
             return 0
         if now and self._mode in ("error", "errorifexists"):
             raise TableExists(name)
-        with runtime.time_zone(self.spark, o.get("sftimezone")):
-            return self._write(store, folder, name, now, o)
+        began = time.monotonic()
+        try:
+            with runtime.time_zone(self.spark, o.get("sftimezone")), self._jobs.running() if self._jobs else nullcontext():
+                n = self._write(store, folder, name, now, o)
+        except BaseException as error:
+            runtime.report("write", name, began, error=error)
+            raise
+        runtime.report("write", name, began, n)
+        return n
 
     def _write(self, store: Store, folder: str, name: str, now: Manifest | None, o: Options) -> int:
         df, empty_skip = self.df, o["internal_skip_write_when_writing_empty_dataframe"]
@@ -93,7 +108,6 @@ class Writer:
         except BaseException:
             store.drop_version(folder, version)
             raise
-        log.info("%s: %d rows written", name, n)
         return n
 
 
