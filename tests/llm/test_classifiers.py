@@ -205,11 +205,11 @@ def test_counts_agree_with_those_by_hand():
         want = [terms_by_hand(t or "", shapes) for t in texts]
         assert [Counter(d) for d in L.spelled(pa.array(texts), shapes)] == want
         terms = sorted(set().union(*want))
-        got = L.Counted(terms, shapes)(pa.array(texts))
+        got = L.Counted(pa.array(terms), shapes)(pa.array(texts))
         for i, w in enumerate(want):
             own = slice(got.starts[i], got.starts[i + 1])
             assert {terms[t]: n for t, n in zip(got.at[own], got.values[own], strict=True)} == w
-        assert len(L.Counted([], shapes)(pa.array(texts)).at) == 0 and len(L.Counted(terms, shapes)(pa.array([], pa.string()))) == 0
+        assert len(L.Counted(pa.array([], pa.string()), shapes)(pa.array(texts)).at) == 0 and len(L.Counted(pa.array(terms), shapes)(pa.array([], pa.string()))) == 0
 
 
 def test_every_term_of_the_examples_counts(spark):
@@ -221,12 +221,12 @@ def test_every_term_of_the_examples_counts(spark):
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     labels = spark.createDataFrame([(i, int(i < 800)) for i in [*range(400), *range(800, 1200)]], "doc_id int, toxic int")
     model = toxicity.fit(docs, labels, lambda i: i.isNotNull())
-    assert {name(i) for i in range(400)} <= set(model.terms)
+    assert {name(i) for i in range(400)} <= set(model.terms.to_pylist())
     only = spark.createDataFrame([(i, name(i)) for i in range(400)], "doc_id int, text string")  # nothing but the insult
     found = {r.doc_id: r for r in toxicity.score(only, model).collect()}
     assert all(found[i].score > 0.5 and found[i].evidence[0].id == i for i in range(400))
     poor = quality_classifier.fit(docs, labels, lambda i: i.isNotNull(), label="toxic")
-    assert {name(i) for i in range(400)} <= set(poor.terms)
+    assert {name(i) for i in range(400)} <= set(poor.terms.to_pylist())
 
 
 def test_axes_are_those_of_a_dense_decomposition():

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Python-side work is done on slices of an Arrow batch of at most this many bytes of text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Size of the Arrow batches between Spark and its Python workers, where the session sets none.
 BATCH_BYTES = 4 << 20
 

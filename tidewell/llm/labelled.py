@@ -180,15 +180,15 @@ def spelled(texts: pa.Array, shapes: bool) -> list[dict[str, int]]:
 class Counted:
     """Counts of known terms in slices of texts."""
 
-    def __init__(self, terms: list[str], shapes: bool) -> None:
-        self.shapes, self.width, self.terms = shapes, max(len(terms), 1), pa.array(terms, pa.string())
-        self.marks = {t: i for i, t in enumerate(terms) if t[0] == "#"}
-        number = {t: i for i, t in enumerate(terms)}
+    def __init__(self, terms: pa.Array, shapes: bool) -> None:
+        self.shapes, self.width, self.terms = shapes, max(len(terms), 1), terms
+        marks = np.flatnonzero(pc.starts_with(terms, "#").to_numpy(zero_copy_only=False))
+        self.marks = dict(zip(terms.take(pa.array(marks)).to_pylist(), marks.tolist(), strict=True))
+        starred = np.flatnonzero(pc.match_substring_regex(terms, r"^[0-9]+\*").to_numpy(zero_copy_only=False))
+        parts = [t.partition("*") for t in terms.take(pa.array(starred)).to_pylist()]
+        plain = pc.index_in(pa.array([p for _, _, p in parts], pa.string()), value_set=terms).to_numpy(zero_copy_only=False)
         self.times = np.full((len(OFTEN), self.width), -1, np.int32)
-        for i, t in enumerate(terms):
-            m, star, plain = t.partition("*")
-            if star and m.isdigit():
-                self.times[OFTEN.index(int(m)), number[plain]] = i
+        self.times[[OFTEN.index(int(m)) for m, _, _ in parts], plain.astype(np.int64)] = starred
 
     def __call__(self, texts: pa.Array) -> Rows:
         """A row for each text, its terms in order; null counts as empty."""
@@ -204,7 +204,7 @@ class Counted:
         return Rows((key % width).astype(np.int32), count, np.searchsorted(key, np.arange(len(texts) + 1) * width))
 
 
-def counter(terms: list[str], shapes: bool, key: str) -> Counted:
+def counter(terms: pa.Array, shapes: bool, key: str) -> Counted:
     """This worker's counter for these terms; the key tells one list of terms from another."""
     return built("labelled", key, lambda: Counted(terms, shapes))
 
@@ -217,7 +217,7 @@ class Examples:
     labels: np.ndarray
     weights: np.ndarray  # rows of its label for each example of it
     counts: Rows
-    terms: list[str]
+    terms: pa.Array
 
 
 def examples(docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Column], Column], shapes: bool, id_col: str, text_col: str, per_class: int) -> Examples:
@@ -249,7 +249,7 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, train: Callable[[Co
     by_id = np.array(sorted(range(len(ids)), key=ids.__getitem__), np.int64)
     y = table["label"].to_numpy().astype(float)[by_id]
     weight = {k: n / min(n, per_class) for k, n in sizes.items()}
-    return Examples([ids[i] for i in by_id], y, np.array([weight[int(k)] for k in y]), counts.taken(by_id), [names[i] for i in order])
+    return Examples([ids[i] for i in by_id], y, np.array([weight[int(k)] for k in y]), counts.taken(by_id), coded.dictionary.take(pa.array(order, pa.int64())))
 
 
 def telling(found: Examples) -> np.ndarray:
@@ -268,7 +268,7 @@ def telling(found: Examples) -> np.ndarray:
     return np.sqrt(np.maximum(gap * gap * (n0 + n1) / np.where(wide > 0, wide, np.inf), LEAST_RATE))
 
 
-def inverse_frequencies(docs: DataFrame, shapes: bool, terms: list[str], key: str, text_col: str) -> np.ndarray:
+def inverse_frequencies(docs: DataFrame, shapes: bool, terms: pa.Array, key: str, text_col: str) -> np.ndarray:
     """log(N / df) + 1 of each term, counted over all documents."""
     rows = pick(docs, text=text_col)
     bound_batches(rows.sparkSession)
