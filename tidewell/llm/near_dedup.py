@@ -132,10 +132,12 @@ def compared(pairs: DataFrame, data: DataFrame, judge: Callable[[np.ndarray, np.
     slices_ = F.greatest(F.ceil(F.greatest("_na", "_nb") / SLICE), F.lit(1))
     n = n.select(F.when(turn, F.col("b")).otherwise(F.col("a")).alias("hub"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("other"), slices_.alias("_s"))
     n = n.select("hub", "other", F.pmod(F.xxhash64("other"), F.col("_s")).alias("piece"))
-    values = data.toDF("_node", "vals")
-    hubs = n.select("hub", "piece").distinct().join(values, F.col("hub") == F.col("_node")).select("hub", "piece", F.lit(None).cast(n.schema["other"].dataType).alias("other"), "vals")
-    others = n.join(values, F.col("other") == F.col("_node")).select("hub", "piece", "other", "vals")
-    rows = hubs.union(others).repartition("hub", "piece").sortWithinPartitions("hub", "piece", F.col("other").asc_nulls_first())
+    hubs = n.select("hub", "piece").distinct().select("hub", "piece", F.lit(None).cast(n.schema["other"].dataType).alias("other"), F.col("hub").alias("_x"))
+    roles = hubs.union(n.select("hub", "piece", "other", F.col("other").alias("_x")))
+    # At most two rows for each pair, of ids only: so data that no pair asks for is not shuffled.
+    roles = F.broadcast(roles) if 2 * pairs.count() <= BROADCAST_IDS else roles
+    rows = data.toDF("_node", "vals").join(roles, F.col("_node") == F.col("_x")).select("hub", "piece", "other", "vals")
+    rows = rows.repartition("hub", "piece").sortWithinPartitions("hub", "piece", F.col("other").asc_nulls_first())
     names = [x.split()[0] for x in result.split(", ")]
     types = [{"double": pa.float64(), "boolean": pa.bool_()}[x.split()[1]] for x in result.split(", ")]
     bound_batches(rows.sparkSession)
@@ -325,7 +327,8 @@ def links(rows: DataFrame, reps: DataFrame, size: int, percent: int, unique: boo
     hot = stored(first.groupBy("v").count().where(F.col("count") > LIST).select("v"))
     by_overlap = _pairs_of_lists(first.join(hot, "v", "left_anti"), ["v"], percent).groupBy("a", "b").count().where(F.col("count") >= least_shared(FEW, percent))
 
-    busy = reps.join(first.join(hot, "v", "left_semi").select("node").distinct(), "node", "left_semi").select("node", "n", "sketch")
+    busy = _if_small(stored(first.join(hot, "v", "left_semi").select("node").distinct()))
+    busy = reps.join(busy, "node", "left_semi").select("node", "n", "sketch")
     each = busy.select(F.explode("sketch").alias("v"))
     common = stored(each.groupBy("v").agg(F.count("*").alias("df")).where(F.col("df") > LIST))
     looked = stored(_rarest(busy, common, percent))
