@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions import codec, variant
+from tidewell.functions import codec, types, variant
 from tidewell.plans.tables import scratch, table
 
 
@@ -56,7 +56,8 @@ def variant_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def variant_struct_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct(F.col("user_id").alias("u"), F.array("event_id", "user_id").alias("a"), F.create_map(F.lit("t"), F.col("event_type")).alias("m")))
-    rows = table(spark, sf_dir, "events").select("event_id", F.from_json(text, "u bigint, a array<bigint>, m map<string,string>", {"mode": "FAILFAST"}).alias("s"))
+    wanted = T.StructType.fromDDL("event_id bigint, s struct<u:bigint,a:array<bigint>,m:map<string,string>>")
+    rows = types.with_schema(table(spark, sf_dir, "events").select("event_id", text.alias("s")), wanted)
     return rows.select("event_id", "s.u", F.col("s.a")[0].alias("first"), F.col("s.m")["t"].alias("t"))
 
 
