@@ -12,7 +12,9 @@ MAX_ROUNDS = 60
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Each node's larger (or other) neighbours are joined to the smallest node next to it. Minima
-    are partly taken before the shuffle, so a hub costs one row for each task."""
+    are partly taken before the shuffle, so a hub costs one row for each task there. In the join a hub's
+    edges, two ids each, share a key with a single row on the other side; beyond Spark's limits for skewed
+    partitions (adaptive.skewJoin, on unless a session turns it off) they are split over tasks."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     if not larger:
         both = both.where("v < u")

@@ -17,8 +17,12 @@
 4. An estimate from the union of the sketches drops pairs that are far below the threshold, the
    full sets decide on the others, and links make connected components.
 
-Chances of losing a pair (2, 3, 4) are at most about CHANCE each; everything else is exact. No list, group or
-block is cut short.
+Chances of losing a pair (2, 3, 4) are at most about CHANCE each; everything else is exact, but that sets are
+compared by 64-bit hashes of their shingles. No list, group or block is cut short.
+
+Where data of nodes is joined with pairs, a node of many pairs is sent once for each SLICE of its partners and
+spread over as many tasks. Long lists are joined with one row each (their size and centre); their members, ids
+only there, are split over tasks by Spark's own handling of skewed joins.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer words than ``size`` are one shingle.
 Defined results: null and empty texts have an empty set and are linked with nothing, as are rows
