@@ -107,3 +107,14 @@ def test_texts_of_one_id_are_judged_by_themselves(spark):
     a, b = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
     df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, ""), (4, a), (4, "")], "doc_id int, text string")
     assert sorted(map(tuple, N.drop_duplicates(df).collect())) == [(1, a), (2, b), (3, ""), (4, "")]
+
+
+def test_many_classes_that_share_a_passage(spark):
+    """Most of each text is a passage that all have; only copies of the own part are linked."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join(word() for _ in range(50)) + " " + passage) for i in range(5000)]
+    rows += [(10_000 + i, f"{rows[i][1]} {word()}") for i in range(0, 5000, 250)]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string").repartition(4), size=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 10_000 if i >= 10_000 else i for i, _ in rows}
